@@ -23,8 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch(col: Column) -> Column:
-    """Whole seconds since 1970 of a timestamp without zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
+    """Whole seconds since 1970 of a timestamp without zone, whatever the session's zone."""
+    days = F.unix_date(col.cast("date")).cast("long")
+    return days * DAY + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
 
 
 def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
