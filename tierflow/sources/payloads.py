@@ -119,20 +119,36 @@ def route_rows(
 
 
 def raw_rows(df: DataFrame, spec: TableSpec, values: Mapping[str, Column]) -> DataFrame:
-    """Cast extracted values to the raw schema and give each unusable row a reason."""
-    wanted = {f.name: whole(values[f.name], f.dataType) for f in spec.schema.fields}
-    numbers = [f.name for f in spec.schema.fields if isinstance(f.dataType, T.IntegralType)]
-    too_large = [wanted[c].isNull() & values[c].isNotNull() for c in numbers]
-    out_of_range = F.array_contains(F.array(*too_large), F.lit(True))
+    """Cast extracted values to the raw schema and give each unusable row a reason.
+
+    Each step refers to the columns of the one before, so nothing is computed twice.
+    """
+    typed = df.select(
+        *[whole(values[f.name], f.dataType).alias(f.name) for f in spec.schema.fields],
+        overflow(df, spec, values).alias("_overflow"),
+        "_unreadable", "_text", *TIES,
+    )
     reason = (
         F.when(F.col("_unreadable"), "corrupt")
-        .when(out_of_range, "out_of_range")
-        .when(wanted[spec.key].isNull(), f"null_{spec.key}")
-        .when(wanted[spec.partition].isNull(), f"null_{spec.partition}")
-    )
-    return df.select(
-        *[col.alias(name) for name, col in wanted.items()],
-        reason.alias("_reason"),
-        F.when(reason.isNotNull(), F.col("_text")).alias("_payload"),
-        *TIES,
+        .when(F.col("_overflow"), "out_of_range")
+        .when(F.col(spec.key).isNull(), f"null_{spec.key}")
+        .when(F.col(spec.partition).isNull(), f"null_{spec.partition}")
     )
+    judged = typed.withColumn("_reason", reason)
+    kept = F.when(F.col("_reason").isNotNull(), F.col("_text"))
+    return judged.select(*spec.schema.names, "_reason", kept.alias("_payload"), *TIES)
+
+
+def overflow(df: DataFrame, spec: TableSpec, values: Mapping[str, Column]) -> Column:
+    """True when a JSON number does not fit the whole-number column it is meant for."""
+    extracted = df.select(*[values[c].alias(c) for c in spec.schema.names]).schema
+    exceeds = F.lit(False)
+    for kind, bound in ((T.IntegerType(), 2.0**31), (T.LongType(), 2.0**63)):
+        numbers = [
+            F.abs(values[f.name]) for f in spec.schema.fields
+            if f.dataType == kind and extracted[f.name].dataType == T.DoubleType()
+        ]
+        if numbers:
+            largest = numbers[0] if len(numbers) == 1 else F.greatest(*numbers)
+            exceeds = exceeds | F.coalesce(largest >= bound, F.lit(False))
+    return exceeds

@@ -178,14 +178,14 @@ WEATHER_ROWS_SQL = """
            case when event_type <> 'view' then k * 100 else 0 end as visibility,
            cast(cast(value / 2 as float) as double) as wind_speed, k as wind_deg,
            case when event_type = 'error' then cast(cast(value as float) as double) end as wind_gust,
-           e - 3600 as sunrise, e + 3600 as sunset, e as load_dt, dt
+           e - 3600 as sunrise, e + 3600 as sunset, e as load_dt, dt, cast(null as varchar) as reason
     from events_k"""
 
 
 @query("q05_weather_payloads", f"with {EVENTS_SQL} {WEATHER_ROWS_SQL}")
 def q05(spark, sf):
     rows = weather_rows(standins.event_weather(spark, sf))
-    return doubles(rows.where(F.col("_reason").isNull()).select(*RAW_WEATHER.schema.names))
+    return doubles(rows.select(*RAW_WEATHER.schema.names, F.col("_reason").alias("reason")))
 
 
 @query(
@@ -203,18 +203,19 @@ def q05(spark, sf):
            cast(line as int) as n_steps,
            'turn 1' as first_instruction,
            '{{"text":"' || line || ' km","value":' || (line * 1000) || '}}' as last_distance,
-           dt_carga as load_dt, dt, cast(i as int) as position
+           dt_carga as load_dt, dt, cast(i as int) as position, cast(null as varchar) as reason
     from parsed""",
 )
 def q06(spark, sf):
     rows = route_rows(standins.trip_payloads(spark, sf), F.col("epoch"))
     plain = [c for c in RAW_TRAFFIC.schema.names if c != "steps"]
-    return rows.where(F.col("_reason").isNull()).select(
+    return rows.select(
         *plain,
         F.size("steps").alias("n_steps"),
         first(F.col("steps"))["html_instructions"].alias("first_instruction"),
         F.try_element_at("steps", F.lit(-1))["distance"].alias("last_distance"),
         F.col("_position").alias("position"),
+        F.col("_reason").alias("reason"),
     )
 
 
