@@ -209,7 +209,9 @@ def test_long_promotion_plan_is_planned_quickly(spark, base_dir):
 
     load_weather(landed(spark, weather(1)), base_dir, "b1")
     history = promotion.weather_history(spark, base_dir)
-    merged = promotion.merge_trusted(current(spark, TRUSTED_WEATHER, base_dir), history, TRUSTED_WEATHER)
+    merged = promotion.merge_trusted(
+        current(spark, TRUSTED_WEATHER, base_dir), history, TRUSTED_WEATHER, history.select("nu_cidade")
+    )
     start = time.time()
     merged._jdf.queryExecution().executedPlan()
     assert time.time() - start < 5

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierflow.operators.filters import missing_fields, with_required, without_required
-from tierflow.operators.latest import latest_per_key, merge_latest, union_aligned
+from tierflow.operators.latest import latest_per_key, merge_changed, merge_latest, union_aligned
 from tierflow.operators.metrics import observed, row_metrics
 
 ROWS = "k string, v int, t int, p string"
@@ -104,3 +104,21 @@ def test_observed_figures(spark, base_dir):
     counted, figures = observed(df, row_metrics(["a", "b"]))
     counted.write.parquet(f"{base_dir}/t")
     assert figures.get == {"rows": 3, "null_a": 1, "null_b": 2}
+
+
+def test_merge_of_few_keys_leaves_other_stored_rows_unshuffled(spark, base_dir):
+    spark.range(2000).selectExpr("cast(id as string) k", "1 v", "0 side").write.parquet(f"{base_dir}/t")
+    stored = spark.read.parquet(f"{base_dir}/t")
+    incoming = spark.createDataFrame(
+        [("5", 2, 1), ("5", 3, 2), ("6", 0, 1), ("7", 1, 1), ("new", 0, 1), (None, 9, 1)], "k string, v int, side int"
+    )
+    out = merge_changed(stored, incoming, ["k"], "v")
+    text = plan_of(out)
+    others = text[: text.index("Window")]  # the branch of the other rows comes first
+    assert "BroadcastHashJoin" in others and "LeftAnti" in others and "Exchange hashpartitioning" not in others.split("BroadcastExchange")[0]
+    rows = {r["k"]: (r["v"], r["side"]) for r in out.collect()}
+    assert len(rows) == out.count() == 2001
+    assert (rows["5"], rows["6"], rows["7"], rows["new"], rows["8"]) == ((3, 2), (1, 0), (1, 1), (0, 1), (1, 0))
+    whole = merge_changed(stored, incoming, ["k"], "v", max_bytes=1)
+    assert "BroadcastHashJoin" not in plan_of(whole)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, out.collect()))

@@ -5,8 +5,9 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tierflow.operators.lookup import (
-    attach_twice, broadcast_within, city_names, missing_references, resolve_city_pairs,
+    attach_twice, city_names, missing_references, resolve_city_pairs,
 )
+from tierflow.operators.sizing import broadcast_within
 
 D = "2024-06-01"
 ROLES = {"a": "o", "b": "d"}

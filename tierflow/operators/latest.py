@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.operators.filters import with_required
+from tierflow.operators.sizing import BROADCAST_BYTES, fits
 
 
 def latest_per_key(
@@ -47,6 +48,33 @@ def merge_latest(
     return ordered.select(*stored.columns)
 
 
+def merge_changed(
+    stored: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    ties: Sequence[Column] = (),
+    changed: DataFrame | None = None,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``merge_latest`` for a ``stored`` table that has one row per key.
+
+    If the changed keys are measured to be small they are broadcast, and only stored
+    rows of those keys are merged; all others pass from scan to write without a shuffle
+    or a sort.  Otherwise the two sides are merged as a whole.
+
+    ``changed`` holds at least the keys of ``incoming`` and should be cheap to scan.
+    """
+    changed = with_required(incoming if changed is None else changed, keys).select(*keys)
+    if not fits(changed, max_bytes):
+        return merge_latest(stored, incoming, keys, version, ties)
+    changed = F.broadcast(changed.distinct())
+    known = with_required(stored, keys)
+    touched = known.join(changed, list(keys), "left_semi").select(*stored.columns)
+    others = known.join(changed, list(keys), "left_anti").select(*stored.columns)
+    return others.unionByName(merge_latest(touched, incoming, keys, version, ties))
+
+
 def union_aligned(*frames: DataFrame) -> DataFrame:
     """Union all by column name; every input must have the same columns."""
     result = frames[0]

@@ -12,35 +12,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tierflow.functions.columns import NESTED, composite_key
+from tierflow.functions.columns import composite_key
 from tierflow.functions.text import fold
 from tierflow.operators.filters import with_required
-
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def broadcast_within(
-    df: DataFrame, max_bytes: int = BROADCAST_BYTES, measured: DataFrame | None = None
-) -> DataFrame:
-    """Mark ``df`` for broadcast if its measured size is at most ``max_bytes``.
-
-    The size is taken from the rows themselves in one distributed aggregation (text
-    length plus 16 bytes per column), not from file statistics.  ``measured`` names a
-    cheaper frame to measure that is at least as large as ``df``.  Types without a cheap
-    length are never broadcast.
-    """
-    sized = df if measured is None else measured
-    if any(isinstance(f.dataType, NESTED) for f in [*sized.schema, *df.schema]):
-        return df
-    width = F.lit(16 * max(len(sized.columns), len(df.columns))).cast("long")
-    for field in sized.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    size = sized.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
-    return F.broadcast(df) if size <= max_bytes else df
-
+from tierflow.operators.sizing import broadcast_within
 
 def attach_twice(
     facts: DataFrame,

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import conform
-from tierflow.operators.lookup import attach_twice, broadcast_within, missing_references
+from tierflow.operators.lookup import attach_twice, missing_references
+from tierflow.operators.sizing import broadcast_within
 from tierflow.plans.promotion import merge_trusted, weather_history
 from tierflow.plans.raw_load import check_policy
 from tierflow.sinks.files import publish_snapshot, quarantine, read_snapshot
@@ -101,9 +102,8 @@ def describe_routes(
     path = ROUTE_DESCRIPTION.path(base_dir)
     stored = read_snapshot(spark, path, ROUTE_DESCRIPTION.schema)
     incoming = enrich_routes(routes, weather, load_ts)
-    return Enrichment(
-        publish_snapshot(merge_trusted(stored, incoming, ROUTE_DESCRIPTION), path), count
-    )
+    merged = merge_trusted(stored, incoming, ROUTE_DESCRIPTION, routes.select("nu_rota"))
+    return Enrichment(publish_snapshot(merged, path), count)
 
 
 def routes_without_weather(routes: DataFrame, missing: DataFrame) -> DataFrame:

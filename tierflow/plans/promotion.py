@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.columns import conform, rename_by_position
 from tierflow.operators.filters import lacks_any, on_dates, with_required, without_required
-from tierflow.operators.latest import merge_latest
+from tierflow.operators.latest import merge_changed
 from tierflow.operators.metrics import observed
 from tierflow.plans.raw_load import RejectedRows, check_policy
 from tierflow.sinks.files import publish_snapshot, quarantine, read_snapshot
@@ -69,7 +69,9 @@ def promote(
     counted, figures = observed(history, {"rows": F.count(F.lit(1)), "incomplete": incomplete})
     stored = read_snapshot(spark, trusted.path(base_dir), trusted.schema)
     incoming = to_trusted(with_required(counted, raw.required), raw, trusted)
-    number = publish_snapshot(merge_trusted(stored, incoming, trusted), trusted.path(base_dir))
+    changed = history.select(F.col(raw.key).alias(trusted.key))
+    merged = merge_trusted(stored, incoming, trusted, changed)
+    number = publish_snapshot(merged, trusted.path(base_dir))
     if figures.get["incomplete"]:
         rejects = without_required(history, raw.required)
         quarantine(rejects, trusted.quarantine_path(base_dir), batch_id)
@@ -81,9 +83,16 @@ def to_trusted(rows: DataFrame, raw: TableSpec, trusted: TableSpec) -> DataFrame
     return conform(rename_by_position(rows, raw.schema, trusted.schema), trusted.schema)
 
 
-def merge_trusted(stored: DataFrame, incoming: DataFrame, trusted: TableSpec) -> DataFrame:
-    """Latest row per key over all dates; between equal versions the newest date wins."""
-    return merge_latest(stored, incoming, [trusted.key], trusted.version, [F.desc("dt")])
+def merge_trusted(
+    stored: DataFrame, incoming: DataFrame, trusted: TableSpec, changed: DataFrame
+) -> DataFrame:
+    """Latest row per key over all dates; between equal versions the newest date wins.
+
+    ``changed`` has at least the keys of ``incoming``.
+    """
+    return merge_changed(
+        stored, incoming, [trusted.key], trusted.version, [F.desc("dt")], changed
+    )
 
 
 def weather_history(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.filters import on_dates
-from tierflow.operators.latest import merge_latest
+from tierflow.operators.latest import merge_changed
 from tierflow.sinks.files import overwrite_partitions, quarantine
 from tierflow.sources.payloads import TIES, route_rows, weather_rows
 from tierflow.sources.scratch import staged
@@ -107,7 +107,7 @@ def upsert_partitions(
     """
     stored = stored_partitions(incoming.sparkSession, spec, base_dir, touched)
     ties = [F.asc(c) for c in TIES if c in incoming.columns]
-    merged = merge_latest(stored, incoming, [spec.partition, spec.key], spec.version, ties)
+    merged = merge_changed(stored, incoming, [spec.partition, spec.key], spec.version, ties)
     overwrite_partitions(merged, spec.path(base_dir), spec.partition, touched)
 
 

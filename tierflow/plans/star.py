@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tierflow.functions.columns import composite_key, conform
 from tierflow.functions.dates import epoch_to_date
 from tierflow.operators.filters import on_dates, with_required
-from tierflow.operators.lookup import attach_twice, broadcast_within
+from tierflow.operators.lookup import attach_twice
+from tierflow.operators.sizing import broadcast_within
 from tierflow.plans.enrichment import ROLES
 from tierflow.plans.promotion import to_trusted, weather_history
 from tierflow.sinks.files import overwrite_partitions, publish_snapshot, read_snapshot
