@@ -491,9 +491,11 @@ def q19(spark, sf):
 
 @query(
     "q20_load_metrics",
-    """select count(*) as rows, count_if(event_type = 'error') as null_id,
-              count_if(event_type = 'purchase') as null_dt,
-              count_if(event_type not in ('error', 'purchase')) as written from events""",
+    """select count(*) as rows,
+              count(*) filter (where event_type = 'error') as null_id,
+              count(*) filter (where event_type = 'purchase') as null_dt,
+              count(*) filter (where event_type not in ('error', 'purchase')) as written
+       from events""",
 )
 def q20(spark, sf):
     """Figures observed while a partitioned table is written without its NULL partition."""
