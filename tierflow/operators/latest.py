@@ -68,7 +68,7 @@ def merge_changed(
     changed = with_required(incoming if changed is None else changed, keys).select(*keys)
     if not fits(changed, max_bytes):
         return merge_latest(stored, incoming, keys, version, ties)
-    changed = F.broadcast(changed.distinct())
+    changed = F.broadcast(changed)  # semi and anti joins need no distinct keys
     known = with_required(stored, keys)
     touched = known.join(changed, list(keys), "left_semi").select(*stored.columns)
     others = known.join(changed, list(keys), "left_anti").select(*stored.columns)
