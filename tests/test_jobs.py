@@ -8,9 +8,8 @@ from datetime import date
 
 import pytest
 from payloads import DAY, NOON, directions, landed, leg, weather
-from pyspark.sql import functions as F
 
-from tierflow.plans import enrichment, promotion, raw_load, star
+from tierflow.plans import promotion, raw_load, star
 from tierflow.plans.enrichment import MissingWeather, describe_routes
 from tierflow.plans.promotion import promote_routes, promote_weather
 from tierflow.plans.raw_load import RejectedRows, load_routes, load_weather
@@ -18,7 +17,7 @@ from tierflow.sinks.files import publish_snapshot, read_snapshot, snapshots
 from tierflow.sources.tables import open_merged, open_table, typed_rows
 from tierflow.specs import (
     CITY_DIM, RAW_TRAFFIC, RAW_WEATHER, ROUTE_DESCRIPTION, ROUTE_DIM, ROUTE_FACT, STEP_FACT,
-    TRUSTED_TRAFFIC, TRUSTED_WEATHER, WEATHER_DIM,
+    TRUSTED_WEATHER, WEATHER_DIM,
 )
 
 LOAD_TS = NOON + 50

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from tierflow.functions.columns import (
     composite_key,
-    conform,
     first,
     nested_to_json,
     rename_by_position,
@@ -37,7 +36,6 @@ from tierflow.specs import (
     ROUTE_DESCRIPTION,
     ROUTE_FACT,
     STEP_FACT,
-    TRUSTED_TRAFFIC,
     TRUSTED_WEATHER,
     struct,
 )
