@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import WORD, let, words
 
 SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
 TERMINAL = r"[.!?…:;。！？][\"'”’»)\]*]*[\x20\x09-\x0D]*$"
 ENDS = tuple(".!?…:;。！？")
 MARKS = r"[#*$%&|<>!?»›•·→]"
@@ -47,11 +46,13 @@ class LineRules:
 
 
 def word_chars(text: Column) -> Column:
-    return F.length(F.translate(text, SPACES, ""))
+    return F.length(F.array_join(words(text), ""))
 
 
 def symbols(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
+    """Symbols of a text; one without any, the usual case, is only searched."""
+    counted = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
+    return F.when(text.rlike(f"[{SYMBOLS}]"), counted).otherwise(0)
 
 
 def is_good_line(line: Column, rules: LineRules = LineRules()) -> Column:
@@ -95,10 +96,16 @@ def cleaned(text: Column, rules: LineRules = LineRules()) -> Column:
     return F.array_join(kept, "\n")
 
 
-def loses_little(chars: Column, clean: Column, rules: LineRules = LineRules()) -> Column:
-    """Whether at most the allowed share of the word characters went with the lines."""
-    lost = chars - word_chars(clean)
-    return lost * 100 <= chars * rules.lost_per_100_chars
+def loses_little(
+    text: Column, chars: Column, rules: LineRules = LineRules()
+) -> Column:
+    """Whether at most the allowed share of the word characters goes with failed lines."""
+
+    def judged(clean: Column) -> Column:
+        lost = chars - word_chars(clean)
+        return (clean == text) | (lost * 100 <= chars * rules.lost_per_100_chars)
+
+    return let(cleaned(text, rules), judged)
 
 
 def repeated_words(text_words: Column) -> Column:
@@ -170,7 +177,7 @@ def repeated_words(text_words: Column) -> Column:
 
 def repeated_lines(text: Column) -> Column:
     """Number of lines with a word that equal an earlier line."""
-    spoken = F.filter(lines(text), lambda line: word_chars(line) > 0)
+    spoken = F.filter(lines(text), lambda line: line.rlike(WORD))
     return let(spoken, lambda s: F.size(s) - F.size(F.array_distinct(s)))
 
 
@@ -186,11 +193,8 @@ def quality_figures(
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     measured = documents.select(
-        F.col(doc_id).alias("doc_id"),
-        whole.alias("text"),
-        words(whole).alias("words"),
-        word_chars(whole).alias("word_chars"),
-    )
+        F.col(doc_id).alias("doc_id"), whole.alias("text"), words(whole).alias("words")
+    ).withColumn("word_chars", F.length(F.array_join("words", "")))
     counted = measured.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
@@ -198,7 +202,7 @@ def quality_figures(
         symbols(F.col("text")).cast("long").alias("n_symbols"),
         repeated_lines(F.col("text")).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
-        loses_little(F.col("word_chars"), cleaned(F.col("text"), rules), rules).alias("_good"),
+        loses_little(F.col("text"), F.col("word_chars"), rules).alias("_good"),
     )
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return counted.select(
@@ -215,7 +219,7 @@ def passes(text: Column, rules: LineRules = LineRules()) -> Column:
         words(whole),
         lambda w: (F.size(w) >= 50) & (repeated_words(w) * 100 <= F.size(w) * 50),
     )
-    return verdict & loses_little(word_chars(whole), cleaned(whole, rules), rules)
+    return verdict & loses_little(whole, word_chars(whole), rules)
 
 
 ORACLE = r"""
