@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check_queries import compare
+from tierflow.workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, name):
     good, note = compare(spark, SF_DIR, entry_point.queries()[name], entry_point.oracle_sql()[name])
     assert good, note
