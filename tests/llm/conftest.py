@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "4g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "America/Sao_Paulo")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture
+def base_dir():
+    return tempfile.mkdtemp(prefix="tierflow-test-")
+
+
+def plan_of(df) -> str:
+    """Executed plan as text."""
+    return df._jdf.queryExecution().executedPlan().toString()

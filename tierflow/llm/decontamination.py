@@ -53,7 +53,7 @@ def myers(pattern: bytes, text: bytes, most: int) -> int:
     for i, c in enumerate(pattern):
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
-    plus, minus, score, best = full, 0, m, most + 1
+    plus, minus, score, best = full, 0, m, min(m, most + 1)
     for c in text:
         eq = masks.get(c, 0)
         vertical = eq | minus
