@@ -346,3 +346,31 @@ def test_typed_rows_are_checked(spark):
     assert typed_rows(spark, [(None,) * len(CITY_DIM.schema)], CITY_DIM.schema).schema == CITY_DIM.schema
     with pytest.raises(Exception, match="CANNOT_ACCEPT|can not accept|FIELD_DATA_TYPE"):
         typed_rows(spark, [("x", *(None,) * (len(CITY_DIM.schema) - 1))], CITY_DIM.schema)
+
+
+# --- empty batches and reruns -------------------------------------------------------
+
+
+def test_a_batch_of_rejects_only_changes_nothing(spark, base_dir):
+    report = load_weather(landed(spark, "{not json"), base_dir, "b1")
+    assert report.accepted == 0 and report.partitions == ()
+    done = promote_weather(spark, base_dir, "b1", dates=report.partitions)
+    assert (done.snapshot, done.rows_read, done.rows_rejected) == (0, 0, 0)
+    assert snapshots(spark, TRUSTED_WEATHER.path(base_dir)) == ([], 1)
+
+
+def test_a_mended_batch_leaves_no_old_rejects(spark, base_dir):
+    load_weather(landed(spark, weather(1), "{not json"), base_dir, "b=1/x")
+    assert rejects(spark, RAW_WEATHER, base_dir).count() == 1
+    load_weather(landed(spark, weather(1)), base_dir, "b=1/x")
+    left = rejects(spark, RAW_WEATHER, base_dir)
+    assert left is None or left.count() == 0
+
+
+def test_all_missing_cities_are_listed_once_each(spark, base_dir):
+    routes = [directions((1, "Resende"), (3, "Itu")), directions((3, "ITU"), (1, "Resende"))]
+    zone(spark, base_dir, [weather(1)], routes)
+    with pytest.raises(MissingWeather, match="1 cities.*batch_id=b1"):
+        describe_routes(spark, base_dir, "b1", LOAD_TS)
+    listed = spark.read.parquet(f"{ROUTE_DESCRIPTION.quarantine_path(base_dir)}_missing")
+    assert [(r["nu_cidade"], r["name"]) for r in listed.collect()] == [(3, "ITU")]

@@ -12,7 +12,9 @@ from tierflow.operators.lookup import attach_twice, missing_references
 from tierflow.operators.sizing import broadcast_within
 from tierflow.plans.promotion import merge_trusted, weather_history
 from tierflow.plans.raw_load import check_policy
-from tierflow.sinks.files import publish_snapshot, quarantine, read_snapshot
+from tierflow.sinks.files import (
+    clear_quarantine, overwrite_partitions, publish_snapshot, quarantine, read_snapshot,
+)
 from tierflow.sources.scratch import staged
 from tierflow.specs import ROUTE_DESCRIPTION, TRUSTED_TRAFFIC
 
@@ -47,6 +49,8 @@ class MissingWeather(ValueError):
 
 @dataclass(frozen=True)
 class Enrichment:
+    """The published snapshot and the number of cities without weather on some date."""
+
     snapshot: int
     missing: int
 
@@ -88,16 +92,31 @@ def describe_routes(
     dates = [row["dt"] for row in routes.select("dt").distinct().collect()]  # one per day
     weather = weather_history(spark, base_dir, dates)
 
+    # one row per city and date, however its name is spelled
     missing = staged(
-        missing_references(routes, weather, "nu_cidade", "dt", ROLES, ROLE_NAMES), "missing"
+        missing_references(routes, weather, "nu_cidade", "dt", ROLES, ROLE_NAMES)
+        .groupBy("nu_cidade", "dt").agg(F.min("name").alias("name")),
+        "missing",
     )
-    count = missing.count()
+    count = missing.select("nu_cidade").distinct().count()
+    quarantined = ROUTE_DESCRIPTION.quarantine_path(base_dir)
+    listing = f"{quarantined}_missing"
+    if count:
+        overwrite_partitions(
+            missing.withColumn("batch_id", F.lit(batch_id)), listing, "batch_id", [batch_id]
+        )
+    else:
+        clear_quarantine(spark, listing, batch_id)
     if count and on_missing == "fail":
-        listed = ", ".join(f"{r['name']} ({r['dt']})" for r in missing.take(NAMED_IN_ERROR))
-        raise MissingWeather(f"{count} cities without weather, load them first: {listed}")
+        named = ", ".join(f"{r['name']} ({r['dt']})" for r in missing.take(NAMED_IN_ERROR))
+        raise MissingWeather(
+            f"{count} cities without weather, load them first; all of them are listed in "
+            f"{listing}, batch_id={batch_id}, among them: {named}"
+        )
     if count:
-        rejects = routes_without_weather(routes, missing)
-        quarantine(rejects, ROUTE_DESCRIPTION.quarantine_path(base_dir), batch_id)
+        quarantine(routes_without_weather(routes, missing), quarantined, batch_id)
+    else:
+        clear_quarantine(spark, quarantined, batch_id)
 
     path = ROUTE_DESCRIPTION.path(base_dir)
     stored = read_snapshot(spark, path, ROUTE_DESCRIPTION.schema)

@@ -13,7 +13,9 @@ from tierflow.operators.filters import lacks_any, on_dates, with_required, witho
 from tierflow.operators.latest import merge_changed
 from tierflow.operators.metrics import observed
 from tierflow.plans.raw_load import RejectedRows, check_policy
-from tierflow.sinks.files import publish_snapshot, quarantine, read_snapshot
+from tierflow.sinks.files import (
+    clear_quarantine, publish_snapshot, quarantine, read_snapshot, snapshots,
+)
 from tierflow.sources.tables import open_table
 from tierflow.specs import (
     RAW_TRAFFIC,
@@ -55,11 +57,16 @@ def promote(
 
     ``dates`` limits the scan to the raw partitions that changed since the last
     promotion.  The outcome is that of a full scan, because a trusted row is already the
-    latest of everything promoted before.
+    latest of everything promoted before.  With no dates nothing is published, and the
+    snapshot in force (0 if there is none) is reported with zero figures.
     """
     check_policy(on_error)
+    dates = None if dates is None else list(dates)
+    if dates is not None and not dates:  # a batch of rejects only has changed nothing
+        complete, _ = snapshots(spark, trusted.path(base_dir))
+        return Promotion(complete[-1] if complete else 0, 0, 0)
     history = open_table(spark, raw.path(base_dir), raw.schema)
-    history = on_dates(history, None if dates is None else list(dates), raw.partition)
+    history = on_dates(history, dates, raw.partition)
     incomplete = F.count(F.when(lacks_any(raw.required), 1))
     if on_error == "fail":
         bad = history.agg(incomplete.alias("bad")).first()["bad"]
@@ -75,6 +82,8 @@ def promote(
     if figures.get["incomplete"]:
         rejects = without_required(history, raw.required)
         quarantine(rejects, trusted.quarantine_path(base_dir), batch_id)
+    else:
+        clear_quarantine(spark, trusted.quarantine_path(base_dir), batch_id)
     return Promotion(number, figures.get["rows"], figures.get["incomplete"])
 
 

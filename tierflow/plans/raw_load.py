@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tierflow.operators.filters import on_dates
 from tierflow.operators.latest import merge_changed
-from tierflow.sinks.files import overwrite_partitions, quarantine
+from tierflow.sinks.files import clear_quarantine, overwrite_partitions, quarantine
 from tierflow.sources.payloads import TIES, route_rows, weather_rows
 from tierflow.sources.scratch import staged
 from tierflow.sources.tables import open_table
@@ -89,6 +89,8 @@ def load_rows(
             rejects.select(F.col("_reason").alias("reason"), F.col("_payload").alias("payload")),
             spec.quarantine_path(base_dir), batch_id,
         )
+    else:
+        clear_quarantine(rows.sparkSession, spec.quarantine_path(base_dir), batch_id)
     accepted = [row for row in counts if not row["_reason"]]
     touched = sorted({row[spec.partition] for row in accepted})
     if touched:

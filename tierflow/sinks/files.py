@@ -86,3 +86,12 @@ def quarantine(rejects: DataFrame, path: str, batch_id: str) -> None:
         rejects.select("reason", "payload", F.lit(batch_id).alias("batch_id")),
         path, "batch_id", [batch_id],
     )
+
+
+def clear_quarantine(spark: SparkSession, path: str, batch_id: str) -> None:
+    """Drop what an earlier run of this batch rejected: a mended batch leaves no rejects."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={escape(batch_id)}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(folder):
+        fs.delete(folder, True)
