@@ -248,6 +248,15 @@ def test_context_tree_scores(spark, odd, none):
     assert all(small[r.doc_id, r.n_tokens] == pytest.approx(r.score) for r in got)
 
 
+def test_context_tree_scores_do_not_depend_on_how_a_pass_is_split(spark, odd, monkeypatch):
+    whole = {r.doc_id: r.score for r in ctw.scored(odd).collect()}
+    real = ctw._pass
+    monkeypatch.setattr(ctw, "_pass", lambda rows, *rest: real(rows.repartition(2 + rest[-1], "text"), *rest))
+    got = ctw.scored(odd, block_grams=100).collect()
+    assert len(got) == len(ODD)
+    assert all(r.score == pytest.approx(whole[r.doc_id]) for r in got)
+
+
 def test_context_tree_probabilities_sum_to_one():
     keys = np.unique(ctw.grams([b"abracadabra", b"abba"])[0])
     context = keys[3] >> np.uint64(8) << np.uint64(8)

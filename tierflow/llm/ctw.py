@@ -8,7 +8,8 @@ probability mixes it with the product of its children:
 P_w = (P_e + prod P_w(child)) / 2, and P_w = P_e at full depth.  To predict, the estimates
 of all depths are mixed with the weights that follow from those probabilities.
 
-1. One pass counts, in all training documents, the byte (``DEPTH`` + 1)-grams and the words
+1. Rows get an id and are written once; all passes read them.  One pass counts, in all
+   training documents, the byte (``DEPTH`` + 1)-grams and the words
    (by 64-bit hash).  Grams of held-out documents are listed with count 0.
 2. Grams are grouped by a hash of their two newest bytes; a group computes its subtrees.  The
    nodes above (at most 256 x 255 + 255, whatever the corpus) are summed up and broadcast.
@@ -24,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -255,7 +255,13 @@ def scored(
     empty result.
     """
     spark = documents.sparkSession
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = staged(
+        documents.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+        ),
+        "rows",
+    )  # every pass reads these ids, however it is split
     counts = staged(
         rows.mapInPandas(_counted, "kind int, key bigint, n bigint")
         .groupBy("kind", "key").agg(F.sum("n").alias("n")),
@@ -314,7 +320,6 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lookup = _lookup(shared.value, id(shared.value), 0)
         head = _lookup(head_shared.value, id(head_shared.value), 1)
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = [canonical(t) for t in batch["text"]]
             for i, j in slices([len(t) for t in texts], SLICE_BYTES):
@@ -334,7 +339,7 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
                 ids = batch["doc_id"].iloc[i:j]
                 yield pd.DataFrame(
                     {
-                        "row": row + np.arange(len(own)),
+                        "row": batch["row"].iloc[i:j].array,
                         "doc_id": ids.array,
                         "held_out": [is_held_out(d) for d in ids],
                         "n_tokens": n + 1,
@@ -345,13 +350,12 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
                         "times": np.split(times, cut) if not block else [[]] * len(own),
                     }
                 )
-                row += len(own)
 
     return rows.mapInPandas(run, PASS)
 
 
 def _joined_passes(passes: list[DataFrame]) -> DataFrame:
-    """Scores of several blocks added up; a scan numbers its rows alike in every pass."""
+    """Scores of several blocks added up by the row ids that were written with the texts."""
     first, *others = [staged(p, "pass") for p in passes]
     more = others[0].select("row", "score")
     for other in others[1:]:
