@@ -9,6 +9,7 @@ import random
 import re
 import tempfile
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -287,6 +288,27 @@ def test_licences_are_inherited_from_the_nearest_directory(spark, odd, none):
     assert licences.scanned(none, F.lit("x")).count() == 0
 
 
+def test_whole_licence_texts_and_header_blocks_are_known(spark):
+    text = {n: (Path(licences.__file__).parent / "licence_texts" / f"{n}.txt").read_text() for n in licences.TEXTS}
+    grant = "Copyright (c) 2020 Some One\n\n" + text["MIT"].removeprefix("MIT License\n\n")
+    commented = "#!/bin/sh\n#\n" + "".join(f"# {line}\n" for line in text["GPL.header"].splitlines()) + "\n" + "let us go on\n" * 300
+    rows = [
+        (1, "m/LICENSE", grant), (2, "m/src/code", "Nothing said."), (3, "a/COPYING", text["Apache-2.0"]),
+        (4, "a/code", "Plain."), (5, "b/text-without-such-a-name", text["BSD"]), (6, "b/code", "Plain."),
+        (7, "g/tool.sh", commented), (8, "g/code", "Plain."), (9, "l/COPYING.LESSER", text["LGPL.2"]),
+        (10, "p/story", "We gave no warranty and no licence for it.\n" * 3 + "Plain words. " * 50),
+    ]
+    got = {
+        r.doc_id: (r.licence, r.origin)
+        for r in licences.scanned(spark.createDataFrame(rows, "doc_id long, path string, text string"), F.col("path")).collect()
+    }
+    assert got == {
+        1: ("MIT", "file"), 2: ("MIT", "inherited"), 3: ("Apache-2.0", "file"), 4: ("Apache-2.0", "inherited"),
+        5: ("BSD", "file"), 6: ("BSD", "inherited"), 7: ("GPL", "header"), 8: (None, None), 9: ("LGPL", "file"),
+        10: (None, None),
+    }
+
+
 def test_pipeline_matches_its_stages(spark):
     got = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, SF).collect()}
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -1,17 +1,23 @@
 """Operator 10: licence scans by TF-IDF cosine, with inheritance along directories.
 
-Lines that speak of licences are the headers of a document; a document of which at least
-half of the words are such lines is a licence file.  Headers and files are compared with
-templates by the cosine of sparse TF-IDF vectors.  A document without a licence of its own
-takes that of the nearest directory above it that holds a licence file, by a join of paths.
-
-Built-in expressions only.  The templates are a fixed short list and become literals; term
-statistics are counted over the headers of all documents.  Directories are made distinct
+Three things are compared with templates by the cosine of sparse TF-IDF vectors: the lines
+that speak of licences, with short notices; and the leading header block and the whole text,
+both with the texts in ``licence_texts``.  A licence file is a document whose whole text is
+like such a text, or one named like a licence file, or one of which at least half of the
+words are such lines.  A document without a licence of its own takes that of the nearest
+directory above it that holds a licence file, by a join of paths.
+
+Built-in expressions only.  The templates are a fixed list and become literals; term
+statistics are counted over the headers of all documents, and over their blocks.  Only
+texts that speak of a warranty, as all the texts do, or named like a licence file have
+blocks; equal blocks are one row.  Directories are made distinct
 before their ancestors are looked up, so a directory with most documents is one row there.
 """
 
 from __future__ import annotations
 
+import pkgutil
+import re
 from functools import reduce
 from operator import or_
 
@@ -42,6 +48,16 @@ ANCHOR = r"(?i)licen[cs]|copyright|spdx|redistribut|public domain|permission is
 ANCHOR_WORDS = (
     "licenc", "licens", "copyright", "spdx", "redistribut", "public domain", "permission is hereby",
 )
+#: Licence texts and standard headers; what follows the name tells texts of one licence apart.
+TEXTS = (
+    "AGPL.header", "Apache-2.0", "Apache-2.0.header", "BSD", "CC0", "GPL.2", "GPL.3", "GPL.header",
+    "ISC", "LGPL.2", "LGPL.3", "LGPL.header", "MIT", "MPL-2.0",
+)
+TEXT_THRESHOLD = 0.8
+TEXT_WORD = "warrant"
+FILE_NAME = r"(?i)(^|/)(un)?(licen[cs]es?|copying|copyright|notice)([.-][^/]*)?$"
+#: Marks of a comment at both ends of a line.
+COMMENT = r"(?m)^[ \t]*(?:#+|//+|/?\*+/?|--+|;+|%+|<!--)|(?:\*+/|-->)?[ \t\r]*$"
 #: A term is a run of letters, also with hyphens inside ("by-nc"); numbers do not tell.
 TERM = r"[a-z]+(?:-[a-z]+)*[0-9]?"
 
@@ -66,6 +82,48 @@ def template_table(spark: SparkSession) -> DataFrame:
     return rows.select("licence", terms(F.col("notice")).alias("terms"))
 
 
+def text_templates(spark: SparkSession) -> DataFrame:
+    rows = [
+        (name, re.findall(TERM, pkgutil.get_data(__package__, f"licence_texts/{name}.txt").decode().lower()))
+        for name in TEXTS
+    ]
+    return spark.createDataFrame(rows, "licence string, terms array<string>")
+
+
+def header_block(text: Column) -> Column:
+    """The first paragraphs in a row that speak of licences, without comment marks."""
+    plain = F.regexp_replace(text, COMMENT, "")
+
+    def run(paragraphs: Column, flags: Column) -> Column:
+        start = F.array_position(flags, True)
+        return let(
+            F.array_position(F.slice(flags, start, F.size(flags)), False),
+            lambda end: F.slice(paragraphs, start, F.when(end == 0, F.size(flags)).otherwise(end - 1).cast("int")),
+        )
+
+    return let(
+        F.split(plain, r"\n\s*\n", -1),
+        lambda paragraphs: let(
+            F.transform(paragraphs, lambda p: speaks(p) | F.lower(p).contains(TEXT_WORD)),
+            lambda flags: F.when(
+                F.array_contains(flags, True), F.array_join(run(paragraphs, flags), "\n\n")
+            ).otherwise(""),
+        ),
+    )
+
+
+def blocks(text: Column, named: Column) -> Column:
+    """Whole text and header block with their terms; most texts have none."""
+
+    def block(part: Column, is_whole: bool) -> Column:
+        return let(terms(part), lambda t: F.struct(
+            F.lit(is_whole).alias("whole"), F.sha2(F.array_join(t, " "), 256).alias("key"), t.alias("terms")
+        ))
+
+    both = F.array(block(text, True), block(header_block(text), False))
+    return F.when(named | F.lower(text).contains(TEXT_WORD), both).otherwise(F.slice(both, 1, 0))
+
+
 def weights(vectors: DataFrame, key: list[str], idf: DataFrame) -> DataFrame:
     """(key, term, w): TF-IDF weights, scaled so that each vector has length 1."""
     tf = vectors.select(*key, F.explode("terms").alias("term")).groupBy(*key, "term").count()
@@ -80,10 +138,13 @@ def header_licences(headers: DataFrame, threshold: float = THRESHOLD) -> DataFra
     Equal header lines are one row, counted; so the notice that a third of all documents
     carry is compared once.  Ties go to the name that sorts first.
     """
-    spark = headers.sparkSession
     distinct = headers.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
     vectors = distinct.select("text", "n", terms(F.col("text")).alias("terms"))
-    templates = template_table(spark)
+    return nearest_template(vectors, template_table(headers.sparkSession), threshold)
+
+
+def nearest_template(vectors: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
+    """(text, licence, similarity) of the (text, n, terms) that reach the threshold."""
     total = vectors.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     seen = vectors.select("n", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.sum("n").alias("df"))
     known = templates.select(F.explode("terms").alias("term"), F.lit(0).cast("long").alias("df"))
@@ -91,7 +152,7 @@ def header_licences(headers: DataFrame, threshold: float = THRESHOLD) -> DataFra
         "term", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf")
     )
     own = weights(vectors, ["text"], idf)
-    theirs = weights(templates, ["licence"], idf).withColumnRenamed("w", "v")  # 12 short notices
+    theirs = weights(templates, ["licence"], idf).withColumnRenamed("w", "v")  # a fixed list
     cosine = own.join(F.broadcast(theirs), "term").groupBy("text", "licence").agg(
         F.round(F.sum(F.col("w") * F.col("v")), 6).alias("similarity")
     )
@@ -131,18 +192,38 @@ def scanned(
     rows = documents.select(
         F.col(doc_id).alias("doc_id"), clean.alias("path"), header_lines(whole).alias("headers"),
         F.when(speaks(whole), F.regexp_count(whole, F.lit(WORD))).alias("n_words"),
+        clean.rlike(FILE_NAME).alias("named"), blocks(whole, clean.rlike(FILE_NAME)).alias("blocks"),
     ).withColumn("directory", F.regexp_replace("path", r"/?[^/]*$", ""))
     rows = staged(rows, "headers")  # texts are read once; what follows is small
     headers = rows.where(F.size("headers") > 0).select(F.explode("headers").alias("text"))
     named = header_licences(headers, threshold)
-    speaking = rows.where(F.size("headers") > 0).select(
-        "doc_id", "path", "directory", "n_words",
+    lines = rows.where(F.size("headers") > 0).select(
+        "doc_id", "path", "directory", "named", "n_words",
         F.aggregate("headers", F.lit(0), lambda n, h: n + F.regexp_count(h, F.lit(WORD))).alias("said"),
         F.explode(F.array_distinct("headers")).alias("text"),
-    ).join(named, "text")
-    files = speaking.where(F.col("said") * 2 >= F.col("n_words")).groupBy("directory").agg(
-        F.min(F.struct((-F.col("similarity")).alias("s"), "licence")).alias("given")
+    ).join(named, "text").select(
+        "doc_id", "path", "directory", (F.col("named") | (F.col("said") * 2 >= F.col("n_words"))).alias("file"),
+        F.lit(1).alias("rank"), "similarity", "licence",
     )
+    parts = rows.where(F.size("blocks") > 0).select("doc_id", "path", "directory", "named", F.explode("blocks").alias("b"))
+    distinct = parts.groupBy(F.col("b.key").alias("text")).agg(
+        F.count(F.lit(1)).alias("n"), F.any_value("b.terms").alias("terms")
+    )
+    alike = nearest_template(distinct, text_templates(rows.sparkSession), TEXT_THRESHOLD)
+    texts = parts.join(alike, F.col("b.key") == F.col("text")).select(
+        "doc_id", "path", "directory", (F.col("named") | F.col("b.whole")).alias("file"),
+        F.lit(0).alias("rank"), "similarity", F.regexp_replace("licence", r"\.(header|2|3)$", "").alias("licence"),
+    )
+    # a whole text or header block that is known says more than a line within it
+    loud = lines.unionByName(texts).groupBy("doc_id", "path", "directory").agg(
+        F.max("file").alias("file"),
+        F.min(F.struct("rank", (-F.col("similarity")).alias("s"), "licence")).alias("best"),
+    ).select(
+        F.col("doc_id").alias("_id"), F.col("path").alias("_path"), "directory", "file",
+        F.struct("best.s", "best.licence").alias("own"),
+    )
+    files = loud.where("file").groupBy("directory").agg(F.min("own").alias("given"))
+    loud = loud.drop("directory")
     above = rows.select("directory").distinct().select(
         "directory", F.posexplode(ancestors(F.col("directory"))).alias("up", "ancestor")
     )
@@ -150,18 +231,7 @@ def scanned(
         F.min(F.struct("up", "given")).alias("near")
     ).select("directory", F.col("near.given").alias("given"))
 
-    # a header line is short, so its licence is looked up by text; documents are not grouped
-    own = F.aggregate(
-        "found", F.lit(None).cast("struct<s:double,licence:string>"),
-        lambda best, f: F.when(best.isNull() | (f < best), f).otherwise(best),
-    )
-    loud = speaking.select(
-        "doc_id", "path", (F.col("said") * 2 >= F.col("n_words")).alias("file"),
-        F.struct((-F.col("similarity")).alias("s"), "licence").alias("f"),
-    ).groupBy("doc_id", "path", "file").agg(F.collect_set("f").alias("found")).select(
-        F.col("doc_id").alias("_id"), F.col("path").alias("_path"), "file", own.alias("own")
-    )
-    quiet = F.size("headers") == 0
+    quiet = (F.size("headers") == 0) & (F.size("blocks") == 0)
     plain = rows.where(quiet).select(
         "doc_id", "path", "directory", F.lit(False).alias("file"), F.lit(None).cast("struct<s:double,licence:string>").alias("own")
     )
