@@ -249,6 +249,12 @@ def test_context_tree_scores(spark, odd, none):
     assert all(small[r.doc_id, r.n_tokens] == pytest.approx(r.score) for r in got)
 
 
+def test_context_tree_gives_code_length_per_byte(odd):
+    for r in ctw.scored(odd.where("doc_id <> 3 or doc_id is null")).collect():
+        size = len(ctw.canonical(next(t for i, t in ODD if i == r.doc_id))) + 1
+        assert r.bits_per_byte == pytest.approx(-r.score / math.log10(2) / size)
+
+
 def test_context_tree_scores_do_not_depend_on_how_a_pass_is_split(spark, odd, monkeypatch):
     whole = {r.doc_id: r.score for r in ctw.scored(odd).collect()}
     real = ctw._pass

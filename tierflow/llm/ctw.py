@@ -250,6 +250,8 @@ def scored(
 ) -> DataFrame:
     """Tokens, add-one unigram score and context-tree score of every document.
 
+    ``bits_per_byte`` is the code length of the context tree over the bytes with the end.
+
     NULL and empty texts are a lone end; a NULL id is a training row; repeated rows count
     and are scored one by one; other columns are not looked at; an empty table gives an
     empty result.
@@ -304,11 +306,12 @@ def scored(
             - F.col("n_tokens") * F.lit(scale)
         ).alias("base_score"),
         "score",
+        (F.col("score") / F.col("n_bytes") / F.lit(-float(np.log10(2)))).alias("bits_per_byte"),
     )
 
 
 PASS = (
-    "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+    "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_bytes bigint, n_known bigint, "
     "head_score double, score double, keys array<bigint>, times array<bigint>"
 )
 
@@ -343,6 +346,7 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
                         "doc_id": ids.array,
                         "held_out": [is_held_out(d) for d in ids],
                         "n_tokens": n + 1,
+                        "n_bytes": sizes,
                         "n_known": np.bincount(owner, known, len(own)).astype(np.int64),
                         "head_score": np.bincount(owner, value, len(own)),
                         "score": score,
