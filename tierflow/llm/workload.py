@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm import (
-    bpe, chat, ctw, decontamination, html, jaccard, licences, ranking, rules, tokens,
+    bpe, chat, ctw, decontamination, html, imatch, jaccard, licences, ranking, rules, tokens,
 )
 from tierflow.llm.common import table
 from tierflow.sources.scratch import scratch_path
@@ -65,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_encoding": bpe_encoding,
     "op9_lm_scoring": lm_scoring,
     "op10_licence_scan": licences.query,
+    "op12_document_fingerprints": imatch.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -74,4 +75,5 @@ ORACLES: dict[str, str] = {
     "op2_html_extraction": html.ORACLE,
     "op3_quality_rules": rules.ORACLE,
     "op10_licence_scan": licences.ORACLE,
+    "op12_document_fingerprints": imatch.ORACLE,
 }
