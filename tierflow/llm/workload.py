@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm import (
-    bpe, chat, ctw, decontamination, html, imatch, jaccard, licences, ranking, rules, tokens,
+    bpe, chat, ctw, decontamination, html, imatch, jaccard, licences, negatives,
+    ranking, rules, tokens,
 )
 from tierflow.llm.common import table
 from tierflow.sources.scratch import scratch_path
@@ -66,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": lm_scoring,
     "op10_licence_scan": licences.query,
     "op12_document_fingerprints": imatch.query,
+    "op13_hard_negatives": negatives.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -76,4 +78,5 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": rules.ORACLE,
     "op10_licence_scan": licences.ORACLE,
     "op12_document_fingerprints": imatch.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }
