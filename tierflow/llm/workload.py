@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm import (
     bpe, chat, ctw, decontamination, html, imatch, jaccard, licences, negatives,
-    ranking, rules, tokens,
+    ranking, rules, search, tokens,
 )
 from tierflow.llm.common import table
 from tierflow.sources.scratch import scratch_path
@@ -66,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_encoding": bpe_encoding,
     "op9_lm_scoring": lm_scoring,
     "op10_licence_scan": licences.query,
+    "op11_ranked_search": search.query,
     "op12_document_fingerprints": imatch.query,
     "op13_hard_negatives": negatives.query,
     "pipeline": corpus_pipeline.run,
@@ -77,6 +78,7 @@ ORACLES: dict[str, str] = {
     "op2_html_extraction": html.ORACLE,
     "op3_quality_rules": rules.ORACLE,
     "op10_licence_scan": licences.ORACLE,
+    "op11_ranked_search": search.ORACLE,
     "op12_document_fingerprints": imatch.ORACLE,
     "op13_hard_negatives": negatives.ORACLE,
 }
