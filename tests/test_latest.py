@@ -7,9 +7,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierflow.operators.filters import missing_fields, with_required, without_required
+from tierflow.operators.changes import changed_keys
+from tierflow.operators.filters import (
+    among, missing_fields, nothing_in, with_required, without_required,
+)
 from tierflow.operators.latest import latest_per_key, merge_changed, merge_latest, union_aligned
 from tierflow.operators.metrics import observed, row_metrics
+from tierflow.operators.sizing import sized
 
 ROWS = "k string, v int, t int, p string"
 
@@ -112,13 +116,61 @@ def test_merge_of_few_keys_leaves_other_stored_rows_unshuffled(spark, base_dir):
     incoming = spark.createDataFrame(
         [("5", 2, 1), ("5", 3, 2), ("6", 0, 1), ("7", 1, 1), ("new", 0, 1), (None, 9, 1)], "k string, v int, side int"
     )
-    out = merge_changed(stored, incoming, ["k"], "v")
+    out = merge_changed(stored, incoming, ["k"], "v", changed=sized(incoming.select("k"), "keys"))
     text = plan_of(out)
     others = text[: text.index("Window")]  # the branch of the other rows comes first
     assert "BroadcastHashJoin" in others and "LeftAnti" in others and "Exchange hashpartitioning" not in others.split("BroadcastExchange")[0]
     rows = {r["k"]: (r["v"], r["side"]) for r in out.collect()}
     assert len(rows) == out.count() == 2001
     assert (rows["5"], rows["6"], rows["7"], rows["new"], rows["8"]) == ((3, 2), (1, 0), (1, 1), (0, 1), (1, 0))
-    whole = merge_changed(stored, incoming, ["k"], "v", max_bytes=1)
-    assert "BroadcastHashJoin" not in plan_of(whole)
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_merge_is_the_same_on_both_sides_of_the_bound(spark):
+    """Also if a stored key is there twice: untouched ones stay, touched ones are merged."""
+    stored = spark.createDataFrame(
+        [("twice", 1, 0), ("twice", 1, 0), ("hit", 1, 0), ("hit", 2, 0), ("one", 1, 0), (None, 1, 0)],
+        "k string, v int, side int",
+    )
+    incoming = spark.createDataFrame([("hit", 2, 1), ("new", 1, 1), (None, 5, 1)], "k string, v int, side int")
+    changed = sized(incoming.select("k"), "keys")
+    found = [
+        sorted(map(tuple, merge_changed(stored, incoming, ["k"], "v", changed=given, max_bytes=most).collect()))
+        for given, most in ((changed, 1 << 20), (changed, 1), (None, 1))
+    ]
+    assert found[0] == found[1] == found[2] == [
+        ("hit", 2, 1), ("new", 1, 1), ("one", 1, 0), ("twice", 1, 0), ("twice", 1, 0),
+    ]
+
+
+def test_changed_keys_between_two_states(spark):
+    schema = "k string, v int, p string, steps array<map<string,string>>"
+    before = spark.createDataFrame(
+        [("same", 1, "a", [{"x": "1"}]), ("newer", 1, "a", None), ("gone", 1, "a", None), ("text", 1, "a", None),
+         ("nested", 1, "a", [{"x": "1"}]), ("null", 1, None, None)], schema,
+    )
+    after = spark.createDataFrame(
+        [("same", 1, "a", [{"x": "1"}]), ("newer", 2, "a", None), ("text", 1, "b", None),
+         ("nested", 1, "a", [{"x": "2"}]), ("null", 1, None, None), ("born", 1, "a", None)], schema,
+    )
+    assert {tuple(r) for r in changed_keys(before, after, "k", "v").collect()} == {
+        ("newer", "updated"), ("gone", "removed"), ("text", "updated"), ("nested", "updated"), ("born", "added"),
+    }
+    assert changed_keys(after, after, "k", "v").count() == 0
+
+
+def test_membership_by_literals_lists_and_tables(spark, base_dir):
+    spark.range(300).selectExpr("id", "concat('d', id % 100) as dt").write.partitionBy("dt").parquet(f"{base_dir}/t")
+    df = spark.read.schema("id long, dt string").parquet(f"{base_dir}/t")
+    few, many = ["d1", "d2"], [f"d{i}" for i in range(70)]
+    few_table = sized(spark.createDataFrame([(d,) for d in [*few, None]], "dt string"), "few")
+    short, long = among(df, "dt", few), among(df, "dt", many)
+    by_table, by_frame = among(df, "dt", few_table), among(df, "dt", few_table.df)
+    assert short.count() == by_table.count() == by_frame.count() == 6 and long.count() == 210
+    assert among(df, "dt", None) is df and among(df, "dt", []).count() == 0
+    assert df.columns == by_table.columns == long.columns
+    for pruned in (long, by_table):
+        assert "dynamicpruning" in plan_of(pruned).lower() and "LeftSemi" in plan_of(pruned)
+    assert "PartitionFilters: [dt" in short._jdf.queryExecution().toString()
+    assert [nothing_in(v) for v in ([], few, None, few_table, sized(few_table.df.limit(0), "no"))] == [
+        True, False, False, False, True,
+    ]

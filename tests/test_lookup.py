@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tierflow.operators.lookup import (
     attach_twice, city_names, missing_references, resolve_city_pairs,
 )
-from tierflow.operators.sizing import broadcast_within
+from tierflow.operators.latest import merge_changed
+from tierflow.operators.sizing import Sized, broadcast_within, sized
 
 D = "2024-06-01"
 ROLES = {"a": "o", "b": "d"}
@@ -52,12 +53,35 @@ def test_missing_references_of_both_roles(spark):
     assert {r["name"] for r in out.collect()} == {"n3", "n2", "n1"}
 
 
-def test_broadcast_only_within_the_measured_size(spark):
-    df = spark.range(1000).select(F.col("id"), F.lit("x" * 100).alias("s"))
-    assert broadcast_within(df, 200_000) is not df
-    assert broadcast_within(df, 50_000) is df
-    nested = spark.range(2).select(F.array("id").alias("a"))
-    assert broadcast_within(nested) is nested
+def test_broadcast_only_what_was_seen_to_be_small(spark):
+    df = spark.range(1000).select(F.col("id"), F.lit("x" * 100).alias("s"), F.array("id").alias("a"))
+    known = sized(df, "known")
+    assert known.rows == 1000 and known.df.count() == 1000
+    assert 148_000 <= known.bytes <= 200_000  # 48 for the columns, the text, the array as text
+    assert broadcast_within(known, 200_000) is not known.df
+    assert broadcast_within(known, 50_000) is known.df
+    assert broadcast_within(df) is df  # of unknown size: left to Spark
+    assert sized(df.limit(0), "none").bytes == 0
+
+
+def test_no_job_runs_while_plans_are_built(spark, cities):
+    known = sized(cities, "cities")
+    requests = spark.createDataFrame([("Lavras", "Lavras", D)], "origin string, destination string, dt string")
+    facts = spark.createDataFrame([(1, 2, D)], "o int, d int, dt string")
+    group = "plan-building"
+    spark.sparkContext.setJobGroup(group, "plans")
+    try:
+        for reference in (cities, known):
+            resolve_city_pairs(requests, reference)
+            attach_twice(facts, broadcast_within(reference), "nu_cidade", "dt", ROLES, ["cidade"])
+        merge_changed(facts, facts, ["o"], "d", changed=sized_of(facts))
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def sized_of(df):
+    return Sized(df, 1, 1)
 
 
 def wide(spark, rows, parts=8):
@@ -72,7 +96,7 @@ def wide(spark, rows, parts=8):
 
 def test_small_reference_moves_no_fact_row(spark):
     known = spark.range(97).select(F.col("id").cast("int").alias("c"), F.lit(D).alias("dt"), (F.col("id") * 2).alias("t"))
-    out = attach_twice(wide(spark, 3000), broadcast_within(known), "c", "dt", ROLES, ["t"])
+    out = attach_twice(wide(spark, 3000), broadcast_within(sized(known, "known")), "c", "dt", ROLES, ["t"])
     text = plan_of(out)
     assert text.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in text
     assert out.count() == 3000
@@ -95,7 +119,7 @@ def test_hot_key_of_a_large_reference_is_split(spark):
         spark.conf.set(k, v)
     try:
         known = spark.range(97).select(F.col("id").cast("int").alias("c"), F.lit(D).alias("dt"), (F.col("id") * 2).alias("t"))
-        out = attach_twice(wide(spark, 120_000), broadcast_within(known, 10), "c", "dt", ROLES, ["t"])
+        out = attach_twice(wide(spark, 120_000), broadcast_within(sized(known, "known"), 10), "c", "dt", ROLES, ["t"])
         rows = out.groupBy().agg(F.count("*").alias("n"), F.sum("t_a").alias("a"), F.sum("t_b").alias("b"), F.sum(F.length("pad")).alias("p"))
         got = rows.collect()[0]
         assert "SortMergeJoin(skew=true)" in plan_of(rows)

@@ -6,7 +6,7 @@ import pytest
 from payloads import NOON, directions, landed, leg, weather
 from pyspark.sql import functions as F
 
-from tierflow.sources.payloads import route_rows, weather_rows
+from tierflow.sources.payloads import payload_account, route_rows, weather_rows
 from tierflow.specs import RAW_TRAFFIC, RAW_WEATHER
 
 
@@ -95,10 +95,53 @@ def test_load_time_may_be_a_column(spark):
     assert row["load_dt"] == NOON + 86_400 and row["dt"] == "2024-06-02"
 
 
-def test_no_routes_no_row(spark):
-    assert route_rows(landed(spark, directions(routes=[])), NOON).count() == 0
+def test_a_payload_without_routes_is_on_record(spark):
     nothing = {k: v for k, v in directions().items() if k != "routes"}
-    assert route_rows(landed(spark, nothing), NOON).count() == 0
+    batch = [directions(routes=[]), nothing, {"status": "REQUEST_DENIED"}]
+    rows = route_rows(landed(spark, *batch), NOON).collect()
+    assert [r["_reason"] for r in rows] == ["no_routes"] * 3
+    assert {r["_payload"] for r in rows} == {json.dumps(b, ensure_ascii=False) for b in batch}
+
+
+def test_every_landed_payload_is_accounted_for_once(spark):
+    big = {"legs": [leg(3_000_000_000)]}
+    batch = [
+        directions(), directions(), directions(routes=[{"legs": [leg()]}, {"legs": [leg(2)]}]),
+        directions(routes=[]), "{bad", None, "", directions(origin=(None, "x")), directions(routes=[big]),
+    ]
+    account = payload_account(route_rows(landed(spark, *batch), NOON)).collect()
+    assert sum(r["payloads"] for r in account) == len(batch)
+    outcomes = {}
+    for r in account:
+        outcomes[r["outcome"]] = outcomes.get(r["outcome"], 0) + r["payloads"]
+    assert outcomes == {"accepted": 3, "no_routes": 1, "corrupt": 4, "null_route_uuid": 1}
+    assert max(r["payloads"] for r in account) == 2 and max(r["accepted"] for r in account) == 2
+
+
+@pytest.mark.parametrize(
+    "column, text, want",
+    [
+        ("load_dt", "9007199254740993", None),  # beyond the years of a date: the row has no dt
+        ("id", "-2147483648", -(2**31)), ("id", "-2147483648.9", -(2**31)), ("id", "2147483647.9", 2**31 - 1),
+        ("id", "2147483648", "out_of_range"), ("id", "-2147483649", "out_of_range"), ("id", "1e1", 10), ("id", "1e300", "out_of_range"), ("id", "5.9999999999999999", 5),
+        ("temp", "3.4028235e38", 3.4028234663852886e38), ("temp", "1e39", "out_of_range"), ("temp", "-1e300", "out_of_range"),
+        ("sunrise", "9007199254740993", 9007199254740993), ("sunrise", "9223372036854775807", 2**63 - 1),
+        ("sunrise", "9223372036854775808", "out_of_range"), ("sunset", "-9223372036854775808", -(2**63)),
+    ],
+)
+def test_numbers_keep_their_digits_or_are_rejected(spark, column, text, want):
+    body = {"id": "1", "load_dt": str(NOON), "temp": "1", "sunrise": "2", "sunset": "3", column: text}
+    payload = (
+        f'{{"id": {body["id"]}, "dt": {body["load_dt"]}, "main": {{"temp": {body["temp"]}}}, '
+        f'"sys": {{"sunrise": {body["sunrise"]}, "sunset": {body["sunset"]}}}}}'
+    )
+    row = weather_rows(landed(spark, payload)).first()
+    if isinstance(want, str):
+        assert row["_reason"] == want and row["_payload"] == payload
+    elif want is None:
+        assert row["_reason"] == "null_dt" and row[column] == int(text)
+    else:
+        assert row["_reason"] is None and row[column] == want
 
 
 def test_missing_leg_leaves_fields_null(spark):
@@ -124,5 +167,6 @@ def test_unusable_directions_keep_their_text(spark, payload, reason):
 
 
 def test_payload_is_parsed_once_per_row(spark):
-    for df in (weather_rows(landed(spark, weather())), route_rows(landed(spark, directions()), NOON)):
-        assert df._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    """Weather texts that fail get a second look behind a CASE."""
+    for df, times in ((weather_rows(landed(spark, weather())), 2), (route_rows(landed(spark, directions()), NOON), 1)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_json(") == times

@@ -37,8 +37,11 @@ def conform(df: DataFrame, schema: T.StructType, *, lenient: bool = False, keep=
 
 
 def whole(col: Column, kind: T.DataType) -> Column:
-    """Truncate a number towards zero; NULL when it does not fit ``kind``."""
-    return col.try_cast(kind)
+    """Truncate a number towards zero; NULL when it does not fit ``kind``.
+
+    The way to int is over long, since Spark takes decimals to int by way of double.
+    """
+    return col.try_cast(T.LongType()).try_cast(kind) if kind == T.IntegerType() else col.try_cast(kind)
 
 
 def first(col: Column) -> Column:

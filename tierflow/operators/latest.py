@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.operators.filters import with_required
-from tierflow.operators.sizing import BROADCAST_BYTES, fits
+from tierflow.operators.sizing import BROADCAST_BYTES, Sized, frame, is_small
 
 
 def latest_per_key(
@@ -54,24 +54,23 @@ def merge_changed(
     keys: Sequence[str],
     version: str,
     ties: Sequence[Column] = (),
-    changed: DataFrame | None = None,
+    changed: DataFrame | Sized | None = None,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``merge_latest`` for a ``stored`` table that has one row per key.
+    """``merge_latest`` of the stored rows whose keys come in again; all others stay as they are.
 
-    If the changed keys are measured to be small they are broadcast, and only stored
-    rows of those keys are merged; all others pass from scan to write without a shuffle
-    or a sort.  Otherwise the two sides are merged as a whole.
-
-    ``changed`` holds at least the keys of ``incoming`` and should be cheap to scan.
+    ``changed`` holds at least the keys of ``incoming`` and should be cheap to scan.  If its
+    size is known and small it is broadcast, and stored rows of other keys pass from scan to
+    write without a shuffle or a sort.  Otherwise the same plan meets the keys by a join that
+    Spark picks.  The result is the same either way, also if ``stored`` has a key twice.
     """
-    changed = with_required(incoming if changed is None else changed, keys).select(*keys)
-    if not fits(changed, max_bytes):
-        return merge_latest(stored, incoming, keys, version, ties)
-    changed = F.broadcast(changed)  # semi and anti joins need no distinct keys
+    given = incoming if changed is None else changed
+    small = is_small(given, max_bytes)
+    wanted = with_required(frame(given), keys).select(*keys)
+    wanted = F.broadcast(wanted) if small else wanted  # semi and anti joins need no distinct keys
     known = with_required(stored, keys)
-    touched = known.join(changed, list(keys), "left_semi").select(*stored.columns)
-    others = known.join(changed, list(keys), "left_anti").select(*stored.columns)
+    touched = known.join(wanted, list(keys), "left_semi").select(*stored.columns)
+    others = known.join(wanted, list(keys), "left_anti").select(*stored.columns)
     return others.unionByName(merge_latest(touched, incoming, keys, version, ties))
 
 

@@ -1,9 +1,9 @@
 """Joins against the weather-by-city-and-date reference.
 
 The reference side is one row per (city, date); the referencing side may be arbitrarily
-large and skewed to a few cities.  A reference whose measured size is small is broadcast,
-which moves no row of the large side; beyond that the joins are left to Spark, whose
-adaptive execution splits the partitions of a hot city.
+large and skewed to a few cities.  A reference that is known to be small is broadcast, which
+moves no row of the large side; any other is left to Spark, which broadcasts by the sizes it
+finds and whose adaptive execution splits the partitions of a hot city.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tierflow.functions.columns import composite_key
 from tierflow.functions.text import fold
 from tierflow.operators.filters import with_required
-from tierflow.operators.sizing import broadcast_within
+from tierflow.operators.sizing import Sized, frame, is_small
 
 def attach_twice(
     facts: DataFrame,
@@ -65,7 +65,7 @@ def missing_references(
     return used.join(reference.select(key, date), [key, date], "left_anti")
 
 
-def city_names(cities: DataFrame) -> DataFrame:
+def city_names(cities: DataFrame | Sized) -> DataFrame:
     """One row per folded city name and date.
 
     ``cities`` has ``nu_cidade``, ``cidade`` and ``dt``.  When several ids share a name,
@@ -74,7 +74,7 @@ def city_names(cities: DataFrame) -> DataFrame:
     """
     low, high = F.min("nu_cidade"), F.max("nu_cidade")
     return (
-        with_required(cities, ["nu_cidade", "cidade", "dt"])
+        with_required(frame(cities), ["nu_cidade", "cidade", "dt"])
         .groupBy(fold(F.col("cidade")).alias("folded"), "dt")
         .agg(
             F.when(low == high, low).alias("nu_cidade"),
@@ -84,16 +84,16 @@ def city_names(cities: DataFrame) -> DataFrame:
     )
 
 
-def resolve_city_pairs(requests: DataFrame, cities: DataFrame) -> DataFrame:
+def resolve_city_pairs(requests: DataFrame, cities: DataFrame | Sized) -> DataFrame:
     """Find the ids of the requested origin and destination cities.
 
     ``requests`` has ``origin``, ``destination`` and ``dt``; names match without regard
     to case and accents, on the same date.  Every request comes back once, with
     ``status`` resolved, missing or ambiguous.
     """
-    known = broadcast_within(
-        city_names(cities), measured=cities.select("nu_cidade", "cidade", "dt")
-    )
+    known = city_names(cities)
+    if is_small(cities):  # its names are no more than its rows
+        known = F.broadcast(known)
     pairs = requests.withColumns(
         {"_origin": fold(F.col("origin")), "_destination": fold(F.col("destination"))}
     )

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import conform
+from tierflow.operators.changes import changed_keys
+from tierflow.operators.filters import on_dates
 from tierflow.operators.lookup import attach_twice, missing_references
-from tierflow.operators.sizing import broadcast_within
+from tierflow.operators.sizing import Sized, broadcast_within, sized
 from tierflow.plans.promotion import merge_trusted, weather_history
 from tierflow.plans.raw_load import check_policy
 from tierflow.sinks.files import (
     clear_quarantine, overwrite_partitions, publish_snapshot, quarantine, read_snapshot,
+    snapshots,
 )
-from tierflow.sources.scratch import staged
+from tierflow.sources.scratch import job_scratch
 from tierflow.specs import ROUTE_DESCRIPTION, TRUSTED_TRAFFIC
 
 ROLES = {"origem": "nu_cidade_origem", "destino": "nu_cidade_destino"}
@@ -49,21 +53,22 @@ class MissingWeather(ValueError):
 
 @dataclass(frozen=True)
 class Enrichment:
-    """The published snapshot and the number of cities without weather on some date."""
+    """The published snapshot, the number of cities without weather on some date, the
+    snapshot of routes that is covered now, and the number of routes that were described."""
 
     snapshot: int
     missing: int
+    routes: int
+    described: int
 
 
-def enrich_routes(routes: DataFrame, weather: DataFrame, load_ts: int) -> DataFrame:
+def enrich_routes(routes: DataFrame, weather: DataFrame | Sized, load_ts: int) -> DataFrame:
     """Routes joined with the weather of origin and destination on the route's date.
 
     Routes without weather at both ends are left out; ``missing_references`` finds them.
     """
-    slim = weather.select("nu_cidade", "dt", *WEATHER_STEMS)
-    joined = attach_twice(
-        routes, broadcast_within(slim), "nu_cidade", "dt", ROLES, list(WEATHER_STEMS)
-    )
+    slim = broadcast_within(weather).select("nu_cidade", "dt", *WEATHER_STEMS)
+    joined = attach_twice(routes, slim, "nu_cidade", "dt", ROLES, list(WEATHER_STEMS))
     weather_names = {
         f"{column}_{role}": f"{stem}_{role}"
         for column, stem in WEATHER_STEMS.items()
@@ -74,6 +79,27 @@ def enrich_routes(routes: DataFrame, weather: DataFrame, load_ts: int) -> DataFr
     return conform(loaded, ROUTE_DESCRIPTION.schema)
 
 
+def routes_to_describe(
+    spark: SparkSession, base_dir: str, routes: DataFrame, since: int | None,
+    weather_dates: Iterable[str] | DataFrame | Sized = (),
+) -> DataFrame:
+    """The trusted routes whose description may differ from what was described before.
+
+    These are the routes that were added or changed after the snapshot ``since``, and those
+    on ``weather_dates``, for which weather arrived meanwhile.  Without ``since``, or if that
+    snapshot has expired, they are all routes.
+    """
+    path = TRUSTED_TRAFFIC.path(base_dir)
+    if since is None or since not in snapshots(spark, path)[0]:
+        return routes
+    before = read_snapshot(spark, path, TRUSTED_TRAFFIC.schema, since)
+    feed = changed_keys(before, routes, TRUSTED_TRAFFIC.key, TRUSTED_TRAFFIC.version)
+    late = on_dates(routes, weather_dates)
+    keys = feed.select(TRUSTED_TRAFFIC.key).unionByName(late.select(TRUSTED_TRAFFIC.key)).distinct()
+    wanted = broadcast_within(sized(keys, "routes-to-describe"))
+    return routes.join(wanted, TRUSTED_TRAFFIC.key, "left_semi").select(*routes.columns)
+
+
 def describe_routes(
     spark: SparkSession,
     base_dir: str,
@@ -81,56 +107,78 @@ def describe_routes(
     load_ts: int,
     *,
     on_missing: str = "fail",
+    since: int | None = None,
+    weather_dates: Iterable[str] | DataFrame | Sized = (),
 ) -> Enrichment:
-    """Enrich all trusted routes, merge them into the route descriptions and publish.
+    """Enrich trusted routes, merge them into the route descriptions and publish.
+
+    By default all routes are described.  A later run may pass the ``routes`` snapshot of the
+    run before as ``since`` and the dates of weather loads in between as ``weather_dates``:
+    then only routes that these touch are joined, and weather of no other date is read.  The
+    table is that of a full run, but untouched routes keep their earlier load time.
 
     ``on_missing`` either stops the job with the cities that lack weather, or sets the
     routes that need them aside.
     """
     check_policy(on_missing)
-    routes = read_snapshot(spark, TRUSTED_TRAFFIC.path(base_dir), TRUSTED_TRAFFIC.schema)
-    dates = [row["dt"] for row in routes.select("dt").distinct().collect()]  # one per day
-    weather = weather_history(spark, base_dir, dates)
-
+    source = TRUSTED_TRAFFIC.path(base_dir)
+    complete, _ = snapshots(spark, source)
+    newest = read_snapshot(spark, source, TRUSTED_TRAFFIC.schema)
+    path = ROUTE_DESCRIPTION.path(base_dir)
+    with job_scratch(spark):
+        routes = sized(
+            routes_to_describe(spark, base_dir, newest, since, weather_dates), "routes"
+        )
+        dates = sized(routes.df.select("dt").distinct(), "route-dates")
+        history = weather_history(spark, base_dir, dates)
+        weather = sized(history.select("nu_cidade", "dt", *WEATHER_STEMS), "weather")
+        count = set_aside(routes.df, weather, base_dir, batch_id, on_missing)
+        stored = read_snapshot(spark, path, ROUTE_DESCRIPTION.schema)
+        incoming = enrich_routes(routes.df, weather, load_ts)
+        keys = sized(routes.df.select(ROUTE_DESCRIPTION.key), "changed-keys")
+        merged = merge_trusted(stored, incoming, ROUTE_DESCRIPTION, keys)
+        number = publish_snapshot(merged, path)
+    return Enrichment(number, count, complete[-1] if complete else 0, routes.rows)
+
+
+def set_aside(
+    routes: DataFrame, weather: Sized, base_dir: str, batch_id: str, on_missing: str
+) -> int:
+    """List the cities without weather and quarantine the routes that need them, or stop.
+
+    Returns the number of such cities.
+    """
+    spark = routes.sparkSession
     # one row per city and date, however its name is spelled
-    missing = staged(
-        missing_references(routes, weather, "nu_cidade", "dt", ROLES, ROLE_NAMES)
+    missing = sized(
+        missing_references(routes, weather.df, "nu_cidade", "dt", ROLES, ROLE_NAMES)
         .groupBy("nu_cidade", "dt").agg(F.min("name").alias("name")),
         "missing",
     )
-    count = missing.select("nu_cidade").distinct().count()
     quarantined = ROUTE_DESCRIPTION.quarantine_path(base_dir)
     listing = f"{quarantined}_missing"
-    if count:
-        overwrite_partitions(
-            missing.withColumn("batch_id", F.lit(batch_id)), listing, "batch_id", [batch_id]
-        )
-    else:
+    if not missing.rows:
         clear_quarantine(spark, listing, batch_id)
-    if count and on_missing == "fail":
-        named = ", ".join(f"{r['name']} ({r['dt']})" for r in missing.take(NAMED_IN_ERROR))
+        clear_quarantine(spark, quarantined, batch_id)
+        return 0
+    count = missing.df.select("nu_cidade").distinct().count()
+    overwrite_partitions(
+        missing.df.withColumn("batch_id", F.lit(batch_id)), listing, "batch_id", several=False
+    )
+    if on_missing == "fail":
+        named = ", ".join(f"{r['name']} ({r['dt']})" for r in missing.df.take(NAMED_IN_ERROR))
         raise MissingWeather(
             f"{count} cities without weather, load them first; all of them are listed in "
             f"{listing}, batch_id={batch_id}, among them: {named}"
         )
-    if count:
-        quarantine(routes_without_weather(routes, missing), quarantined, batch_id)
-    else:
-        clear_quarantine(spark, quarantined, batch_id)
-
-    path = ROUTE_DESCRIPTION.path(base_dir)
-    stored = read_snapshot(spark, path, ROUTE_DESCRIPTION.schema)
-    incoming = enrich_routes(routes, weather, load_ts)
-    merged = merge_trusted(stored, incoming, ROUTE_DESCRIPTION, routes.select("nu_rota"))
-    return Enrichment(publish_snapshot(merged, path), count)
+    quarantine(routes_without_weather(routes, missing), quarantined, batch_id)
+    return count
 
 
-def routes_without_weather(routes: DataFrame, missing: DataFrame) -> DataFrame:
+def routes_without_weather(routes: DataFrame, missing: Sized) -> DataFrame:
     """Routes with a missing end: the reason names the roles, the payload is the row."""
-    lost = missing.select("nu_cidade", "dt", F.lit(True).alias("lost")).distinct()
-    marked = attach_twice(
-        routes, broadcast_within(lost), "nu_cidade", "dt", ROLES, ["lost"], how="left"
-    )
+    lost = broadcast_within(missing).select("nu_cidade", "dt", F.lit(True).alias("lost"))
+    marked = attach_twice(routes, lost, "nu_cidade", "dt", ROLES, ["lost"], how="left")
     roles = F.concat_ws(
         ",", *[F.when(F.col(f"lost_{role}"), F.lit(role)) for role in ROLES]
     )

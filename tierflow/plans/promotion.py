@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import conform, rename_by_position
-from tierflow.operators.filters import lacks_any, on_dates, with_required, without_required
+from tierflow.operators.filters import (
+    lacks_any, nothing_in, on_dates, with_required, without_required,
+)
 from tierflow.operators.latest import merge_changed
 from tierflow.operators.metrics import observed
+from tierflow.operators.sizing import Sized, sized
 from tierflow.plans.raw_load import RejectedRows, check_policy
 from tierflow.sinks.files import (
     clear_quarantine, publish_snapshot, quarantine, read_snapshot, snapshots,
 )
+from tierflow.sources.scratch import job_scratch
 from tierflow.sources.tables import open_table
 from tierflow.specs import (
     RAW_TRAFFIC,
@@ -50,19 +54,20 @@ def promote(
     base_dir: str,
     batch_id: str,
     *,
-    dates: Iterable[str] | None = None,
+    dates: Iterable[str] | DataFrame | Sized | None = None,
     on_error: str = "quarantine",
 ) -> Promotion:
     """Merge raw rows with the trusted table and publish the result.
 
-    ``dates`` limits the scan to the raw partitions that changed since the last
-    promotion.  The outcome is that of a full scan, because a trusted row is already the
+    ``dates`` (values, or the written table of a load's report) limits the scan to the raw
+    partitions that changed since the last promotion.  The outcome is that of a full scan, because a trusted row is already the
     latest of everything promoted before.  With no dates nothing is published, and the
     snapshot in force (0 if there is none) is reported with zero figures.
     """
     check_policy(on_error)
-    dates = None if dates is None else list(dates)
-    if dates is not None and not dates:  # a batch of rejects only has changed nothing
+    if dates is not None and not isinstance(dates, (DataFrame, Sized)):
+        dates = list(dates)
+    if nothing_in(dates):  # a batch of rejects only has changed nothing
         complete, _ = snapshots(spark, trusted.path(base_dir))
         return Promotion(complete[-1] if complete else 0, 0, 0)
     history = open_table(spark, raw.path(base_dir), raw.schema)
@@ -73,12 +78,13 @@ def promote(
         if bad:
             raise RejectedRows(f"{raw.name}: {bad} rows lack a required field")
 
-    counted, figures = observed(history, {"rows": F.count(F.lit(1)), "incomplete": incomplete})
-    stored = read_snapshot(spark, trusted.path(base_dir), trusted.schema)
-    incoming = to_trusted(with_required(counted, raw.required), raw, trusted)
-    changed = history.select(F.col(raw.key).alias(trusted.key))
-    merged = merge_trusted(stored, incoming, trusted, changed)
-    number = publish_snapshot(merged, trusted.path(base_dir))
+    with job_scratch(spark):
+        counted, figures = observed(history, {"rows": F.count(F.lit(1)), "incomplete": incomplete})
+        stored = read_snapshot(spark, trusted.path(base_dir), trusted.schema)
+        incoming = to_trusted(with_required(counted, raw.required), raw, trusted)
+        keys = history.select(F.col(raw.key).alias(trusted.key)).distinct()
+        merged = merge_trusted(stored, incoming, trusted, sized(keys, "changed-keys"))
+        number = publish_snapshot(merged, trusted.path(base_dir))
     if figures.get["incomplete"]:
         rejects = without_required(history, raw.required)
         quarantine(rejects, trusted.quarantine_path(base_dir), batch_id)
@@ -93,7 +99,7 @@ def to_trusted(rows: DataFrame, raw: TableSpec, trusted: TableSpec) -> DataFrame
 
 
 def merge_trusted(
-    stored: DataFrame, incoming: DataFrame, trusted: TableSpec, changed: DataFrame
+    stored: DataFrame, incoming: DataFrame, trusted: TableSpec, changed: DataFrame | Sized
 ) -> DataFrame:
     """Latest row per key over all dates; between equal versions the newest date wins.
 
@@ -105,7 +111,7 @@ def merge_trusted(
 
 
 def weather_history(
-    spark: SparkSession, base_dir: str, dates: Iterable[str] | None = None
+    spark: SparkSession, base_dir: str, dates: Iterable[str] | DataFrame | Sized | None = None
 ) -> DataFrame:
     """Complete weather rows of all dates under their trusted names.
 
@@ -113,6 +119,6 @@ def weather_history(
     One row per city and date.
     """
     history = open_table(spark, RAW_WEATHER.path(base_dir), RAW_WEATHER.schema)
-    history = on_dates(history, None if dates is None else list(dates), "dt")
+    history = on_dates(history, dates)
     complete = with_required(history, RAW_WEATHER.required)
     return to_trusted(complete, RAW_WEATHER, TRUSTED_WEATHER)

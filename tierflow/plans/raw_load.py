@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.functions.columns import NESTED
 from tierflow.operators.filters import on_dates
 from tierflow.operators.latest import merge_changed
+from tierflow.operators.sizing import Sized, sized
 from tierflow.sinks.files import clear_quarantine, overwrite_partitions, quarantine
-from tierflow.sources.payloads import TIES, route_rows, weather_rows
-from tierflow.sources.scratch import staged
+from tierflow.sources.payloads import RECORDED, TIES, payload_account, route_rows, weather_rows
+from tierflow.sources.scratch import job_scratch, staged
 from tierflow.sources.tables import open_table
 from tierflow.specs import RAW_TRAFFIC, RAW_WEATHER, TableSpec
 
@@ -24,11 +27,21 @@ class RejectedRows(ValueError):
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What one load did; ``rejected`` counts rows per reason."""
+    """What one load did.
+
+    ``rejected`` counts rows per reason, ``payloads`` landed payloads per outcome (their sum
+    is what was landed).  ``dates`` is a written table of the partitions that changed.
+    """
 
     accepted: int
-    rejected: dict[str, int] = field(default_factory=dict)
-    partitions: tuple[str, ...] = ()
+    rejected: dict[str, int]
+    payloads: dict[str, int]
+    dates: Sized
+
+    @property
+    def partitions(self) -> tuple[str, ...]:
+        """The changed partitions as values on the driver."""
+        return tuple(sorted(row[0] for row in self.dates.df.collect()))
 
 
 def check_policy(on_error: str) -> None:
@@ -72,49 +85,77 @@ def load_rows(
     """Split parsed rows into upserted and quarantined ones.
 
     Parsing is the expensive part, so its result is written once and scanned for the
-    counts, the merge and the quarantine.
+    counts, the account, the merge and the quarantine; it is removed at the end.
     """
     check_policy(on_error)
-    batch = staged(rows, f"load-{spec.name}")
-    counts = batch.groupBy(spec.partition, "_reason").count().collect()  # dates x reasons
-    rejected: dict[str, int] = {}
-    for row in counts:
-        if row["_reason"]:
-            rejected[row["_reason"]] = rejected.get(row["_reason"], 0) + row["count"]
-    if rejected:
-        if on_error == "fail":
+    spark = rows.sparkSession
+    with job_scratch(spark):
+        batch = staged(rows, f"load-{spec.name}")
+        good = batch.where(F.col("_reason").isNull())
+        rejected = {
+            row["_reason"]: row["count"]
+            for row in batch.where(F.col("_reason").isNotNull()).groupBy("_reason").count().collect()
+        }
+        if on_error == "fail" and any(reason not in RECORDED for reason in rejected):
             raise RejectedRows(f"{spec.name}: rejected rows by reason: {rejected}")
-        rejects = batch.where(F.col("_reason").isNotNull())
-        quarantine(
-            rejects.select(F.col("_reason").alias("reason"), F.col("_payload").alias("payload")),
-            spec.quarantine_path(base_dir), batch_id,
+        if rejected:
+            rejects = batch.where(F.col("_reason").isNotNull())
+            quarantine(
+                rejects.select(F.col("_reason").alias("reason"), F.col("_payload").alias("payload")),
+                spec.quarantine_path(base_dir), batch_id,
+            )
+        else:
+            clear_quarantine(spark, spec.quarantine_path(base_dir), batch_id)
+        account = staged(payload_account(batch), "account")
+        overwrite_partitions(
+            account.withColumn("batch_id", F.lit(batch_id)), account_path(spec, base_dir), "batch_id",
+            several=False,
         )
-    else:
-        clear_quarantine(rows.sparkSession, spec.quarantine_path(base_dir), batch_id)
-    accepted = [row for row in counts if not row["_reason"]]
-    touched = sorted({row[spec.partition] for row in accepted})
-    if touched:
-        good = batch.where(F.col("_reason").isNull()).select(*spec.schema.names, *TIES)
-        upsert_partitions(good, spec, base_dir, touched)
-    return LoadReport(sum(row["count"] for row in accepted), rejected, tuple(touched))
+        payloads = {
+            row["outcome"]: row["n"]
+            for row in account.groupBy("outcome").agg(F.sum("payloads").alias("n")).collect()
+        }
+        per_date = good.groupBy(spec.partition).agg(F.count(F.lit(1)).alias("n"))
+        touched = sized(per_date, "dates", keep=True)
+        accepted = touched.df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        dates = replace(touched, df=touched.df.select(spec.partition))
+        if dates.rows:
+            upsert_partitions(good.select(*spec.schema.names, *TIES), spec, base_dir, dates)
+    return LoadReport(accepted, rejected, payloads, dates)
+
+
+def account_path(spec: TableSpec, base_dir: str) -> str:
+    """Where the account of all landed payloads is kept, by batch."""
+    return f"{spec.quarantine_path(base_dir)}_account"
 
 
 def upsert_partitions(
-    incoming: DataFrame, spec: TableSpec, base_dir: str, touched: list[str]
+    incoming: DataFrame, spec: TableSpec, base_dir: str, dates: Sized | DataFrame
 ) -> None:
     """Merge rows into the partitions they belong to; other partitions are not read.
 
     Both the key and the partition identify a row.  Running the same batch again gives
     the same table.
     """
-    stored = stored_partitions(incoming.sparkSession, spec, base_dir, touched)
-    ties = [F.asc(c) for c in TIES if c in incoming.columns]
-    merged = merge_changed(stored, incoming, [spec.partition, spec.key], spec.version, ties)
-    overwrite_partitions(merged, spec.path(base_dir), spec.partition, touched)
+    keys = [spec.partition, spec.key]
+    stored = stored_partitions(incoming.sparkSession, spec, base_dir, dates)
+    changed = sized(incoming.select(*keys).distinct(), "changed-keys")
+    merged = merge_changed(stored, incoming, keys, spec.version, row_order(incoming, spec), changed)
+    one = isinstance(dates, Sized) and dates.rows == 1
+    overwrite_partitions(merged, spec.path(base_dir), spec.partition, several=not one)
+
+
+def row_order(incoming: DataFrame, spec: TableSpec) -> list[Column]:
+    """Total order of rows of equal version: the first route alternative, then the values of
+    all columns in order, then the digest of the payload."""
+    same = (spec.key, spec.version, spec.partition)
+    plain = [f.name for f in spec.schema.fields if not isinstance(f.dataType, NESTED) and f.name not in same]
+    helpers = [c for c in TIES if c in incoming.columns]
+    return [F.asc(c) for c in (*helpers[:1], *plain, *helpers[1:])]
 
 
 def stored_partitions(
-    spark: SparkSession, spec: TableSpec, base_dir: str, touched: list[str]
+    spark: SparkSession, spec: TableSpec, base_dir: str, dates: Iterable[str] | DataFrame | Sized
 ) -> DataFrame:
     table = open_table(spark, spec.path(base_dir), spec.schema)
-    return on_dates(table, touched, spec.partition)
+    return on_dates(table, dates, spec.partition)

@@ -10,6 +10,7 @@ Both parsers return the raw table's columns plus
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,25 +18,40 @@ from pyspark.sql import types as T
 
 from tierflow.functions.columns import composite_key, first, whole
 from tierflow.functions.dates import epoch_to_dt
-from tierflow.specs import DIRECTIONS_PAYLOAD, RAW_TRAFFIC, RAW_WEATHER, WEATHER_PAYLOAD, TableSpec
+from tierflow.specs import (
+    DIRECTIONS_PAYLOAD, NUMBER, RAW_TRAFFIC, RAW_WEATHER, WEATHER_PAYLOAD, TableSpec,
+)
 
 CORRUPT = "_corrupt_record"
 TIES = ("_position", "_digest")
+WHOLE_BITS = {T.IntegerType(): 32, T.LongType(): 64}
+#: From here on a double becomes infinite as a 32-bit float.
+FLOAT_END = float(2**128 - 2**103)
+CORRUPTED, NO_ROUTES = "corrupt", "no_routes"
+#: Reasons that are put on record but do not stop a strict load: nothing in them is lost.
+RECORDED = (NO_ROUTES,)
 HELPERS = ("_reason", "_payload", *TIES)
 
 
 def parsed(landed: DataFrame, fields: str, payload: str) -> DataFrame:
-    """``landed`` plus the parsed payload ``r``, its text and digest, and ``_unreadable``:
-    the text is empty, is not JSON, or has a value of the wrong type."""
-    schema = f"{fields}, {CORRUPT} string"
+    """``landed`` plus the parsed payload ``r``, its text and digest, and
+
+    * ``_unreadable``: the text is empty, is not JSON, or has a value of the wrong type,
+    * ``_too_large``: it is readable but for a number beyond its decimal type.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return landed.withColumns(
-        {
-            "_text": F.col(payload),
-            "_digest": F.xxhash64(payload),
-            "r": F.from_json(payload, schema, options),
-        }
-    ).withColumn("_unreadable", F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull())
+
+    def read(schema: str) -> Column:
+        return F.from_json(payload, f"{schema}, {CORRUPT} string", options)
+
+    texts = landed.withColumns({"_text": F.col(payload), "_digest": F.xxhash64(payload), "r": read(fields)})
+    corrupt = F.col(f"r.{CORRUPT}").isNotNull()
+    if NUMBER in fields:  # a second look, at failed texts only
+        wider = read(fields.replace(NUMBER, "double")).getField(CORRUPT)
+        texts = texts.withColumn("_too_large", F.when(corrupt, wider.isNull()).otherwise(F.lit(False)))
+    else:
+        texts = texts.withColumn("_too_large", F.lit(False))
+    return texts.withColumn("_unreadable", F.col("r").isNull() | (corrupt & ~F.col("_too_large")))
 
 
 def weather_rows(
@@ -48,7 +64,7 @@ def weather_rows(
     """
     def number(path: str, default: bool = defaults) -> Column:
         value = F.col(f"r.{path}")
-        return F.coalesce(value, F.lit(0.0)) if default else value
+        return F.coalesce(value, F.lit(0)) if default else value
 
     values = {
         "id": F.col("r.id"),
@@ -84,19 +100,19 @@ def route_rows(
     """Directions payloads to raw traffic rows, one per route alternative.
 
     ``load_ts`` is the load time in epoch seconds, a constant or a column of ``landed``.
-    A readable payload without routes yields no row.
+    A readable payload without routes, such as an error body, yields one row with the reason
+    ``no_routes``.
     """
     loaded = F.lit(load_ts) if isinstance(load_ts, int) else load_ts
     exploded = (
         parsed(landed.withColumn("_loaded", loaded.cast("long")), DIRECTIONS_PAYLOAD, payload)
         .select(
-            "_text", "_digest", "_unreadable", "_loaded",
+            "_text", "_digest", "_unreadable", "_too_large", "_loaded",
             F.col("r.route.origin").alias("_from"),
             F.col("r.route.destination").alias("_to"),
             F.col("r.routes").alias("_routes"),
         )
         .select("*", F.posexplode_outer("_routes").alias("_position", "_route"))
-        .where(F.col("_position").isNotNull() | F.col("_unreadable"))
         .withColumn("_leg", first(F.col("_route.legs")))
     )
     values = {
@@ -115,22 +131,45 @@ def route_rows(
         "load_dt": F.col("_loaded"),
         "dt": epoch_to_dt(F.col("_loaded"), time_zone),
     }
-    return raw_rows(exploded, RAW_TRAFFIC, values)
+    return raw_rows(exploded, RAW_TRAFFIC, values, absent=NO_ROUTES)
 
 
-def raw_rows(df: DataFrame, spec: TableSpec, values: Mapping[str, Column]) -> DataFrame:
+def payload_account(rows: DataFrame) -> DataFrame:
+    """(digest, payloads, accepted, rejected, outcome): what became of each landed payload.
+
+    ``payloads`` counts how often the text was landed, the next two its rows.  The outcome is
+    ``accepted``, ``partly`` accepted, or the (first) reason of a payload without accepted rows.
+    """
+    first_row = F.coalesce(F.col("_position"), F.lit(0)) == 0
+    counted = rows.groupBy(F.col("_digest").alias("digest")).agg(
+        F.count_if(first_row).alias("payloads"),
+        F.count_if(F.col("_reason").isNull()).alias("accepted"),
+        F.count_if(F.col("_reason").isNotNull()).alias("rejected"),
+        F.min("_reason").alias("_reason"),
+    )
+    outcome = (
+        F.when(F.col("rejected") == 0, "accepted").when(F.col("accepted") > 0, "partly").otherwise(F.col("_reason"))
+    )
+    return counted.withColumn("outcome", outcome).drop("_reason")
+
+
+def raw_rows(
+    df: DataFrame, spec: TableSpec, values: Mapping[str, Column], absent: str = "absent"
+) -> DataFrame:
     """Cast extracted values to the raw schema and give each unusable row a reason.
 
+    ``absent`` is the reason of a payload that holds no row at all (no ``_position``).
     Each step refers to the columns of the one before, so nothing is computed twice.
     """
     typed = df.select(
         *[whole(values[f.name], f.dataType).alias(f.name) for f in spec.schema.fields],
-        overflow(df, spec, values).alias("_overflow"),
+        (F.col("_too_large") | overflow(df, spec, values)).alias("_overflow"),
         "_unreadable", "_text", *TIES,
     )
     reason = (
-        F.when(F.col("_unreadable"), "corrupt")
+        F.when(F.col("_unreadable"), CORRUPTED)
         .when(F.col("_overflow"), "out_of_range")
+        .when(F.col("_position").isNull(), absent)
         .when(F.col(spec.key).isNull(), f"null_{spec.key}")
         .when(F.col(spec.partition).isNull(), f"null_{spec.partition}")
     )
@@ -140,15 +179,21 @@ def raw_rows(df: DataFrame, spec: TableSpec, values: Mapping[str, Column]) -> Da
 
 
 def overflow(df: DataFrame, spec: TableSpec, values: Mapping[str, Column]) -> Column:
-    """True when a JSON number does not fit the whole-number column it is meant for."""
+    """True when a JSON number does not fit the column it is meant for.
+
+    Whole numbers come as decimals, so the bounds are exact: the fraction is cut off, and
+    what is left must lie in the range of the type.
+    """
     extracted = df.select(*[values[c].alias(c) for c in spec.schema.names]).schema
     exceeds = F.lit(False)
-    for kind, bound in ((T.IntegerType(), 2.0**31), (T.LongType(), 2.0**63)):
-        numbers = [
-            F.abs(values[f.name]) for f in spec.schema.fields
-            if f.dataType == kind and extracted[f.name].dataType == T.DoubleType()
-        ]
-        if numbers:
-            largest = numbers[0] if len(numbers) == 1 else F.greatest(*numbers)
-            exceeds = exceeds | F.coalesce(largest >= bound, F.lit(False))
+    for field in spec.schema.fields:
+        value, given = values[field.name], extracted[field.name].dataType
+        if isinstance(given, T.DecimalType) and field.dataType in WHOLE_BITS:
+            bound = 1 << (WHOLE_BITS[field.dataType] - 1)
+            over = (value >= F.lit(Decimal(bound))) | (value <= F.lit(Decimal(-bound - 1)))
+        elif given == T.DoubleType() and field.dataType == T.FloatType():
+            over = F.abs(value) >= FLOAT_END
+        else:
+            continue
+        exceeds = exceeds | F.coalesce(over, F.lit(False))
     return exceeds

@@ -305,16 +305,33 @@ STEP_FACT = TableSpec(
     ),
 )
 
-# Payload fields the parsers read.  JSON numbers are declared double and truncated
-# afterwards: ``from_json`` turns 10.7 into NULL when the field is declared int.
+ROUTE_REQUEST = TableSpec(
+    zone="raw",
+    name="route_requests",
+    key="route_uuid",
+    schema=struct(
+        ("route_uuid", STR),
+        ("origin_uuid", INT),
+        ("origin_city", STR),
+        ("destination_uuid", INT),
+        ("destination_city", STR),
+        ("dt", STR),
+    ),
+)
+
+# Payload fields the parsers read.  Numbers meant for whole columns are declared decimal, which
+# keeps every digit, and truncated afterwards: ``from_json`` turns 10.7 into NULL when the field
+# is declared int, and a double loses digits beyond 2^53.
+NUMBER = "decimal(38,18)"
 WEATHER_PAYLOAD = """
-    id double, name string, dt double, visibility double,
+    id decimal(38,18), name string, dt decimal(38,18), visibility decimal(38,18),
     coord struct<lon: double, lat: double>,
     weather array<struct<description: string>>,
     main struct<temp: double, feels_like: double, temp_min: double, temp_max: double,
-                pressure: double, humidity: double, sea_level: double, grnd_level: double>,
-    wind struct<speed: double, deg: double, gust: double>,
-    sys struct<country: string, sunrise: double, sunset: double>
+                pressure: decimal(38,18), humidity: decimal(38,18), sea_level: decimal(38,18),
+                grnd_level: decimal(38,18)>,
+    wind struct<speed: double, deg: decimal(38,18), gust: double>,
+    sys struct<country: string, sunrise: decimal(38,18), sunset: decimal(38,18)>
 """
 
 DIRECTIONS_PAYLOAD = """

@@ -18,14 +18,16 @@ from tierflow.functions.columns import (
 )
 from tierflow.functions.dates import epoch_to_dt
 from tierflow.functions.text import fold
-from tierflow.operators.filters import on_dates, with_required
+from tierflow.operators.filters import among, on_dates, with_required
 from tierflow.operators.latest import latest_per_key, merge_latest, union_aligned
 from tierflow.operators.lookup import missing_references, resolve_city_pairs
 from tierflow.operators.metrics import observed, row_metrics
+from tierflow.operators.sizing import sized
 from tierflow.plans import star
 from tierflow.plans.enrichment import ROLES, describe_routes, enrich_routes
 from tierflow.plans.promotion import promote_routes, promote_weather
-from tierflow.plans.raw_load import load_routes, load_weather
+from tierflow.plans.raw_load import account_path, load_routes, load_weather
+from tierflow.plans.requests import request_routes
 from tierflow.sinks.files import overwrite_partitions, read_snapshot
 from tierflow.sources.payloads import route_rows, weather_rows
 from tierflow.sources.scratch import scratch_path
@@ -35,6 +37,7 @@ from tierflow.specs import (
     RAW_WEATHER,
     ROUTE_DESCRIPTION,
     ROUTE_FACT,
+    ROUTE_REQUEST,
     STEP_FACT,
     TRUSTED_WEATHER,
     struct,
@@ -84,7 +87,10 @@ readings as (
 ),
 weather as (
     select * from readings
-    qualify row_number() over (partition by id, dt order by load_dt desc) = 1
+    qualify row_number() over (
+        partition by id, dt
+        order by load_dt desc, description, cast(temp as float), cast(acctbal as float), status
+    ) = 1
 )"""
 
 
@@ -189,19 +195,23 @@ def q05(spark, sf):
 @query(
     "q06_directions_payloads",
     f"""with {TRIPS_SQL},
-    parsed as (select *, unnest(range(line - 1)) as i from routes)
+    parsed as (
+        select *, unnest(case when line = 1 then [null] else range(line - 1) end) as i from routes
+    )
     select nu_rota as route_uuid, nu_cidade_origem as origin_uuid, cidade_origem as origin_city,
            nu_cidade_destino as destination_uuid, cidade_destino as destination_city,
-           cidade_origem || ', BR' as destination_start,
-           cidade_destino || ', BR' as destination_end,
+           case when line > 1 then cidade_origem || ', BR' end as destination_start,
+           case when line > 1 then cidade_destino || ', BR' end as destination_end,
            (quantity * 1000 + i) || ' m' as cd_travel_distance,
            cast(quantity * 1000 + i as int) as travel_distance,
            (lines * 60 + i) || ' s' as cd_travel_duration,
            cast(lines * 60 + i as int) as travel_duration,
-           cast(line as int) as n_steps,
-           'turn 1' as first_instruction,
-           '{{"text":"' || line || ' km","value":' || (line * 1000) || '}}' as last_distance,
-           dt_carga as load_dt, dt, cast(i as int) as position, cast(null as varchar) as reason
+           case when line > 1 then cast(line as int) end as n_steps,
+           case when line > 1 then 'turn 1' end as first_instruction,
+           case when line > 1 then '{{"text":"' || line || ' km","value":' || (line * 1000) || '}}' end
+               as last_distance,
+           dt_carga as load_dt, dt, cast(i as int) as position,
+           case when line = 1 then 'no_routes' end as reason
     from parsed""",
 )
 def q06(spark, sf):
@@ -238,7 +248,9 @@ sent as (
 ),
 raw_weather as (
     select * from sent
-    qualify row_number() over (partition by user_id, dt order by e desc, arrival) = 1
+    qualify row_number() over (
+        partition by user_id, dt order by e desc, arrival, cast(value as float), event_type, k
+    ) = 1
 )"""
 
 
@@ -395,7 +407,10 @@ ENRICHED_SQL = f"""
 
 def latest_readings(spark: SparkSession, sf: str) -> DataFrame:
     """One reading per nation and date, under trusted names."""
-    raw = latest_per_key(standins.order_readings(spark, sf), ["id", "dt"], "load_dt")
+    ties = [
+        F.asc("weather_description"), F.asc("temp"), F.asc("wind_speed"), F.asc_nulls_last("sea_level"),
+    ]
+    raw = latest_per_key(standins.order_readings(spark, sf), ["id", "dt"], "load_dt", ties)
     return standins.as_trusted_weather(raw)
 
 
@@ -440,15 +455,19 @@ def q16(spark, sf):
     "q17_membership_filter",
     """select o_orderkey, o_custkey, o_orderpriority from orders
        where o_orderpriority in ('1-URGENT', '2-HIGH')
-         and o_orderstatus = 'F' and o_custkey is not null""",
+         and o_orderstatus = 'F' and o_custkey % 7 in (1, 2) and o_custkey <= 400
+         and o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')""",
 )
 def q17(spark, sf):
-    orders = table(spark, sf, "orders").where(
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        & (F.col("o_orderstatus") == "F")
-        & F.col("o_custkey").isNotNull()
+    """A short list, a long list and a table of values through the same filter."""
+    orders = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+    urgent = among(orders, "o_orderpriority", ["1-URGENT", "2-HIGH"])
+    listed = among(urgent, "o_custkey", [k for k in range(401) if k % 7 in (1, 2)])
+    builders = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(
+        F.col("c_custkey").alias("o_custkey")
     )
-    return orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    chosen = among(listed, "o_custkey", sized(builders, "builders", keep=True))
+    return chosen.select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
 @query(
@@ -591,21 +610,34 @@ def q25(spark, sf):
     "q26_json_number_truncation",
     """select c_custkey, cast(trunc(c_acctbal) as int) as whole_balance,
               cast(cast(c_acctbal as float) as double) as balance,
-              cast(case when c_acctbal < 0 then null else trunc(c_acctbal * 1000) end as bigint) as scaled
+              cast(case when c_acctbal < 0 then null else trunc(c_acctbal * 1000) end as bigint) as scaled,
+              9007199254740993 + c_custkey as beyond_double,
+              case when c_custkey % 2 = 0 then cast(-2147483648 as int) end as lowest
        from customer""",
 )
 def q26(spark, sf):
-    balance = F.col("c_acctbal")
-    payload = F.to_json(F.struct(balance.alias("b"), F.when(balance >= 0, balance * 1000).alias("s")))
+    """Whole numbers are cut off from JSON text without a detour over doubles."""
+    balance, key = F.col("c_acctbal"), F.col("c_custkey")
+    lowest = F.lit(-(2**31)) - key % 2  # one less does not fit
+    payload = F.to_json(
+        F.struct(
+            balance.alias("b"), F.when(balance >= 0, balance * 1000).alias("s"),
+            (key + 9_007_199_254_740_993).alias("n"), lowest.alias("i"),
+        )
+    )
     parsed = table(spark, sf, "customer").select(
-        "c_custkey", F.from_json(payload, "b double, s double").alias("r")
+        "c_custkey",
+        F.from_json(payload, "b double, s decimal(38,18), n decimal(38,18), i decimal(38,18)").alias("r"),
+        F.from_json(payload, "b decimal(38,18)").alias("t"),
     )
     return doubles(
         parsed.select(
             "c_custkey",
-            whole(F.col("r.b"), T.IntegerType()).alias("whole_balance"),
+            whole(F.col("t.b"), T.IntegerType()).alias("whole_balance"),
             whole(F.col("r.b"), T.FloatType()).alias("balance"),
             whole(F.col("r.s"), T.LongType()).alias("scaled"),
+            whole(F.col("r.n"), T.LongType()).alias("beyond_double"),
+            whole(F.col("r.i"), T.IntegerType()).alias("lowest"),
         )
     )
 
@@ -711,7 +743,9 @@ PIPELINE_SQL = f"""
 {CORRECTED_SQL},
 raw_routes as (
     select user_id as o, k as d, value, event_type, e, dt from events_k
-    qualify row_number() over (partition by user_id, k, dt order by e desc) = 1
+    qualify row_number() over (
+        partition by user_id, k, dt order by e desc, cast(floor(value) as int) * 10 || ' m', event_type
+    ) = 1
 ),
 trusted_routes as (
     select * from raw_routes
@@ -824,3 +858,190 @@ def q35(spark, sf):
         F.lit(0).alias("arrival"),
     )
     return merge_latest(stored, resent, ["nu_rota"], "dt", [F.asc("line"), F.asc("quantity")])
+
+
+# --- Records, increments, reports -------------------------------------------------
+
+
+@query(
+    "q36_payload_account",
+    """select case event_type when 'click' then 'corrupt' when 'view' then 'no_routes'
+                   when 'error' then 'no_routes' else 'accepted' end as outcome,
+              count(*) as payloads,
+              2 * count(*) filter (where event_type not in ('click', 'view', 'error')) as accepted,
+              count(*) filter (where event_type in ('click', 'view', 'error')) as rejected,
+              count(distinct case when event_type = 'error' then 'one' else event_id::varchar end) as texts
+       from events group by 1""",
+)
+def q36(spark, sf):
+    """What became of each landed payload: none is lost, whatever it holds."""
+    kind, number = F.col("event_type"), F.col("event_id").cast("string")
+    good = standins.event_routes(spark, sf, "event_id", "event_type")
+    payload = (
+        F.when(kind == "click", F.concat(F.lit('{"routes": ['), number))
+        .when(kind == "view", F.concat(F.lit('{"routes": [], "n": '), number, F.lit("}")))
+        .when(kind == "error", F.lit('{"status": "REQUEST_DENIED"}'))
+        .otherwise(F.concat(F.expr("left(payload, length(payload) - 1)"), F.lit(',"n":'), number, F.lit("}")))
+    )
+    base = scratch_path(spark, "q36")
+    landed = good.withColumn("payload", payload)
+    load_routes(landed, base, "first", F.col("epoch"), on_error="quarantine")
+    account = spark.read.parquet(account_path(RAW_TRAFFIC, base))
+    return account.groupBy("outcome").agg(
+        *[F.sum(c).alias(c) for c in ("payloads", "accepted", "rejected")], F.count(F.lit(1)).alias("texts")
+    )
+
+
+LATE_DAY = 25  # weather from this day of the month on arrives after the first run
+
+INCREMENT_SQL = f"""
+{EVENTS_SQL},
+rw as (
+    select * from events_k
+    qualify row_number() over (
+        partition by user_id, dt order by e desc, cast(value as float), event_type, k
+    ) = 1
+),
+r1 as (
+    select * from events_k where event_type <> 'signup'
+    qualify row_number() over (
+        partition by user_id, k order by e desc, cast(floor(value) as int) * 10 || ' m', event_type
+    ) = 1
+),
+r2 as (
+    select * from events_k
+    qualify row_number() over (
+        partition by user_id, k
+        order by e desc, event_type <> 'signup', cast(floor(value) as int) * 10 || ' m', event_type
+    ) = 1
+),
+d1 as (
+    select r.*, w.value as a, v.value as b, {LOAD_TS} as loaded from r1 r
+    join rw w on r.user_id = w.user_id and r.dt = w.dt join rw v on r.k = v.user_id and r.dt = v.dt
+    where day(r.dt::date) < {LATE_DAY}
+),
+d2 as (
+    select r.*, w.value as a, v.value as b,
+           case when day(r.dt::date) >= {LATE_DAY} or o.e is null or o.e <> r.e or o.event_id <> r.event_id
+                then {LOAD_TS + 1} else {LOAD_TS} end as loaded
+    from r2 r left join r1 o on o.user_id = r.user_id and o.k = r.k
+    join rw w on r.user_id = w.user_id and r.dt = w.dt join rw v on r.k = v.user_id and r.dt = v.dt
+),
+described as (
+    select * from d2
+    union all select * from d1 where not exists (select 1 from d2 where d2.user_id = d1.user_id and d2.k = d1.k)
+)"""
+
+
+@query(
+    "q37_incremental_description",
+    f"""with {INCREMENT_SQL}
+    select user_id || '_' || k as nu_rota, cast(cast(a as float) as double) as temp_origem,
+           cast(cast(b as float) as double) as temp_destino,
+           cast(floor(value) as int) * 10 as distancia, cast(loaded as bigint) as dt_carga, dt
+    from described""",
+)
+def q37(spark, sf):
+    """Weather of late days and some routes arrive after a first run; the second run joins
+    only the routes that these touch, and gives the table of a full run."""
+    base = scratch_path(spark, "q37")
+    day = F.dayofmonth("ts")
+    weather = standins.event_weather(spark, sf, "ts")
+    routes = standins.event_routes(spark, sf, "event_type")
+    load_weather(weather.where(day < LATE_DAY), base, "first")
+    load_routes(routes.where("event_type <> 'signup'"), base, "first", F.col("epoch"))
+    promote_routes(spark, base, "first")
+    first_run = describe_routes(spark, base, "first", LOAD_TS, on_missing="quarantine")
+    late = load_weather(weather.where(day >= LATE_DAY), base, "late")
+    more = load_routes(routes.where("event_type = 'signup'"), base, "late", F.col("epoch"))
+    promote_routes(spark, base, "late", dates=more.dates)
+    describe_routes(
+        spark, base, "late", LOAD_TS + 1, on_missing="quarantine",
+        since=first_run.routes, weather_dates=late.dates,
+    )
+    described = read_snapshot(spark, ROUTE_DESCRIPTION.path(base), ROUTE_DESCRIPTION.schema)
+    return doubles(
+        described.select("nu_rota", "temp_origem", "temp_destino", "distancia", "dt_carga", "dt")
+    )
+
+
+@query(
+    "q38_fact_orphans",
+    f"""with {TRIPS_SQL}, {DAILY_ROUTES_SQL}, {READINGS_SQL},
+    known as (select * from weather where description <> '1-URGENT'),
+    fact as (
+        select daily.dt, o.id || '_' || o.load_dt as wo, d.id || '_' || d.load_dt as wd,
+               nu_cidade_origem as co, nu_cidade_destino as cd
+        from daily
+        left join weather o on nu_cidade_origem = o.id and daily.dt = o.dt
+        left join weather d on nu_cidade_destino = d.id and daily.dt = d.dt
+    ),
+    used as (
+        select dt, 'nu_clima_origem' as "column", 'dm_clima' as dimension, wo as key from fact
+        union all select dt, 'nu_clima_destino', 'dm_clima', wd from fact
+        union all select dt, 'nu_cidade_origem', 'dm_cidade', co::varchar from fact
+        union all select dt, 'nu_cidade_destino', 'dm_cidade', cd::varchar from fact
+    )
+    select cast(dt as date) as dt, "column", dimension, key, count(*) as rows from used
+    where (dimension = 'dm_clima' and (key is null or key not in (select id || '_' || load_dt from known)))
+       or (dimension = 'dm_cidade'
+           and key not in (select n_nationkey::varchar from nation where n_nationkey % 5 > 0))
+    group by 1, 2, 3, 4""",
+)
+def q38(spark, sf):
+    """Keys of the route fact that no dimension row has, here with rows taken out of two."""
+    climate = star.weather_dimension(latest_readings(spark, sf))
+    routes = daily_routes(spark, sf)
+    nations = table(spark, sf, "nation").where("n_nationkey % 5 > 0")
+    return star.orphans(
+        star.route_fact(routes, climate),
+        {
+            "dm_clima": climate.where("descricao_tempo <> '1-URGENT'"),
+            "dm_cidade": nations.select(F.col("n_nationkey").alias("nu_cidade")),
+            "dm_rota": routes,
+            "fp_passo": star.step_fact(routes),
+        },
+    )
+
+
+@query(
+    "q39_route_requests",
+    f"""with {TRIPS_SQL}, {EVENTS_SQL},
+    city as (
+        select distinct user_id, case user_id % 10 when 9 then 'Gêmea' else 'City ' || user_id end as city, dt
+        from events_k
+    ),
+    named as (select dt, lower(strip_accents(city)) as name, min(user_id) as low, max(user_id) as high from city group by all),
+    asked as (
+        select distinct upper(case user_id % 10 when 9 then 'Gêmea' else 'City ' || user_id end) as origin,
+               'city ' || k as destination, dt from events_k
+    )
+    select origin, destination, asked.dt as dt,
+           case when o.name is null or d.name is null then 'missing'
+                when o.low <> o.high or d.low <> d.high then 'ambiguous' else 'resolved' end as status,
+           case when o.low = o.high and d.low = d.high then o.low || '_' || d.low end as route_uuid
+    from asked
+    left join named o on o.name = lower(strip_accents(origin)) and o.dt = asked.dt
+    left join named d on d.name = destination and d.dt = asked.dt""",
+)
+def q39(spark, sf):
+    """City pairs by name to requests, with homonyms and cities that have no weather."""
+    name = F.when(F.col("user_id") % 10 == 9, F.lit("Gêmea")).otherwise(
+        F.concat(F.lit("City "), F.col("user_id").cast("string"))
+    )
+    base = scratch_path(spark, "q39")
+    load_weather(standins.event_weather(spark, sf, name=name), base, "first")
+    events = standins.keyed_events(spark, sf)
+    asked = events.select(
+        F.upper(name).alias("origin"), F.concat(F.lit("city "), F.col("k").cast("string")).alias("destination"),
+        epoch_to_dt(F.col("epoch")).alias("dt"),
+    )
+    request_routes(asked, base, "first", on_error="quarantine")
+    made = spark.read.parquet(ROUTE_REQUEST.path(base)).select(
+        F.upper("origin_city").alias("origin"), F.lower("destination_city").alias("destination"), "dt",
+        F.lit("resolved").alias("status"), "route_uuid",
+    )
+    lost = spark.read.parquet(ROUTE_REQUEST.quarantine_path(base)).select(
+        F.from_json("payload", "origin string, destination string, dt string").alias("p"), "reason"
+    )
+    return made.unionByName(lost.select("p.*", F.col("reason").alias("status"), F.lit(None).cast("string").alias("route_uuid")))

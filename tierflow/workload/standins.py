@@ -38,13 +38,15 @@ def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather_payload(temp: Column) -> Column:
+def weather_payload(temp: Column, name: Column | None = None) -> Column:
     """Weather API text of an event; NULL fields are absent from the text."""
+    if name is None:
+        name = F.concat(F.lit("City "), F.col("user_id").cast("string"))
     kind, k, value = F.col("event_type"), F.col("k"), F.col("value")
     return F.to_json(
         F.struct(
             F.col("user_id").alias("id"),
-            F.concat(F.lit("City "), F.col("user_id").cast("string")).alias("name"),
+            name.alias("name"),
             F.col("epoch").alias("dt"),
             F.when(kind != "view", k * 100).alias("visibility"),
             F.struct(value.alias("lon"), (-value).alias("lat")).alias("coord"),
@@ -72,10 +74,12 @@ def weather_payload(temp: Column) -> Column:
     )
 
 
-def event_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One landed weather payload per event."""
+def event_weather(
+    spark: SparkSession, sf_dir: str, *extra: str, name: Column | None = None
+) -> DataFrame:
+    """One landed weather payload per event, and ``extra`` columns of the event."""
     return keyed_events(spark, sf_dir).select(
-        "event_id", "event_type", weather_payload(F.col("value")).alias("payload")
+        *extra, weather_payload(F.col("value"), name).alias("payload")
     )
 
 
@@ -129,11 +133,11 @@ def directions_payload(
     )
 
 
-def event_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One landed directions payload per event, with two alternatives."""
+def event_routes(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """One landed directions payload per event, with two alternatives, and ``extra`` columns."""
     city = lambda c: F.concat(F.lit("City "), F.col(c).cast("string"))
     return keyed_events(spark, sf_dir).select(
-        "epoch",
+        "epoch", *extra,
         directions_payload(
             F.col("user_id").cast("int"), city("user_id"), F.col("k"), city("k"),
             F.lit(2), F.floor("value").cast("int") * 10, F.col("k") * 60,
