@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 
 import pytest
 from conftest import plan_of
@@ -29,9 +30,11 @@ LOAD_TS = NOON + 50
 
 @pytest.fixture
 def scratch_dir(base_dir, monkeypatch):
-    """The folder that a session without a checkpoint folder falls back to."""
-    monkeypatch.setattr(scratch.tempfile, "mkdtemp", lambda prefix: f"{base_dir}/scratch")
-    return f"{base_dir}/scratch/tierflow"
+    """A scratch folder that can be looked into."""
+    monkeypatch.setattr(
+        scratch, "scratch_path", lambda spark, purpose: f"{base_dir}/scratch/{purpose}-{uuid.uuid4().hex}"
+    )
+    return f"{base_dir}/scratch"
 
 
 def described(spark, base):
