@@ -189,6 +189,22 @@ def test_codes_give_every_id():
         assert [codes[i] for i in range(0, 3000, 7)] == ids[::7].tolist()
 
 
+def test_words_are_encoded_as_the_library_does():
+    words = tokens.Words(public_tokenizers.path("byte_bpe_50k.json"), most=300)
+    tok = pieces_of(public_tokenizers.path("byte_bpe_50k.json")).tokenizer
+    rng = random.Random(4)
+    parts = [
+        "Word", "été", " ", "  ", "\n", ".", "!!", "(x)", "-", "a.\nB", "#", "?!", '"', "<", "|", "é", "“", "\xa0", "\u3000",
+        "1", "'s", "don't", "<|endoftext|>", "😀", "_", "\u0301", "²", "日本", "ǅ", "ª", "Ġ", "x" * 300,
+    ]
+    texts = ["", " ", "  a", "a  b", " lead", "trail ", "\n\nx y\n\n", "A.\n\nB c"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(2000)]
+    for start in range(0, len(texts), 50):
+        part = texts[start : start + 50]
+        for text, ids in zip(part, tokens.token_ids(words, part), strict=True):
+            assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, tokens.END], text
+
+
 def test_written_tokens_come_back(spark, odd, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = odd.select("doc_id", "text").unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id") + 100, "text").toDF("doc_id", "text"))

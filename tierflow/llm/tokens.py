@@ -13,6 +13,9 @@ commits its files as a whole, on any store, also if an executor is lost while wr
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.kernels import slices
-from tierflow.llm.pieces import Pieces, pieces_of
+
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
 
 END = 0
 #: A segment is closed once it has so many ids; a document is never split.
@@ -31,6 +35,8 @@ SEGMENT_IDS = 1 << 19
 SLICE_BYTES = 4 << 20
 RANK = 512
 MAGIC = b"DAC1"
+#: Words that a worker keeps; has no bearing on results.
+KEPT_WORDS = 600_000
 
 SEGMENTS = "shard int, segment int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
@@ -111,30 +117,119 @@ class Codes:
         return values
 
 
-def cut_text(text: str) -> list[bytes]:
-    """Pieces whose ids are independent: a cut lies before a space that a word follows.
+class Words:
+    """Ids of words by the tokenizers library; a word is encoded once while it is kept.
+
+    A word is what follows a space, and its ids are those of the space and the word: the
+    pattern of the vocabulary takes a space before a letter, digit or ASCII sign into the word
+    after it, whatever comes before.  Words that begin otherwise stay with the one before,
+    since cutting less often is always right.
 
-    The pattern of the vocabulary takes such a space into the word after it, whatever comes
-    before; cutting less often is always right, so other spaces are not looked at.
+    The pattern takes a run of Latin letters, a run of signs and a lone line break each by
+    itself, so for words made of these the library's merges are applied run by run, and words
+    share their runs.  All other words are encoded many at a time as one text.  Every id of a
+    byte-level vocabulary stands for a known number of bytes, which tells where words end.
     """
-    words = text.split(" ")
-    out = [words[0]]
-    for w in words[1:]:
-        if w and (w[0].isalnum() or "!" <= w[0] <= "~"):
-            out.append(" " + w)
-        else:
-            out[-1] += " " + w
-    return [w.encode("utf-8", "replace") for w in out if w]
+
+    TOGETHER = 64
+    ODD = re.compile(r" (?![!-~]|\w)")
+    LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+    SIGNS = "!\"#$%&()*+,./:;=>?@^_`{}~\\[\\]\\\\-"  # without those of contractions and special tokens
+    PLAIN = re.compile(rf"([{LETTERS}]+)([{SIGNS}]*)(?:\n([{LETTERS}]+)([{SIGNS}]*))?")
+
+    def __init__(self, path: str, most: int = KEPT_WORDS):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = added.get(i, len(token))
+        # The vocabulary writes each byte as a printable letter.
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {i: spell(chr(i))[0][0] for i in (0x20, *range(0xC0, 0x250))}
+        self.line = self.encode("\n")
+        self.tokenize = self.tokenizer.model.tokenize
+        self.runs: dict[str, bytes] = {"": b""}
+        self.most = most
+        self.ids: dict[bytes, bytes] = {}
+
+    def cut(self, text: str) -> tuple[str, list[bytes]]:
+        """What stands before the first word, and the words."""
+        if not self.ODD.search(text):
+            first, *words = text.encode("utf-8", "replace").split(b" ")
+            return first.decode(), words
+        first, *rest = text.split(" ")
+        out = [first]
+        for w in rest:
+            if w and (w[0].isalnum() or "!" <= w[0] <= "~"):
+                out.append(w)
+            else:
+                out[-1] += " " + w
+        return out[0], [w.encode("utf-8", "replace") for w in out[1:]]
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        new = [w for w in words if w not in self.ids]
+        if len(self.ids) + len(new) > self.most:  # a cache only: start afresh
+            self.ids.clear()
+            self.runs = {"": b""}
+            new = list(words)
+        others = []
+        for w in new:
+            match = self.PLAIN.fullmatch(w.decode())
+            if match:
+                letters, signs, more, end = match.groups()
+                own = self._run(" " + letters) + self._run(signs)
+                self.ids[w] = own if more is None else own + self.line + self._run(more) + self._run(end)
+            elif b"<|" in w:  # may hold a special token
+                self.ids[w] = self.encode(" " + w.decode())
+            else:
+                others.append(w)
+        for start in range(0, len(others), self.TOGETHER):
+            part = others[start : start + self.TOGETHER]
+            raw = self.encode(b" ".join([b"", *part]).decode())
+            ends = np.searchsorted(
+                np.cumsum(self.bytes[np.frombuffer(raw, "<u4")]), np.cumsum([len(w) + 1 for w in part])
+            )
+            places = [0, *(4 * (ends + 1)).tolist()]
+            self.ids.update(zip(part, [raw[i:j] for i, j in zip(places, places[1:], strict=False)], strict=True))
+
+    def _run(self, run: str) -> bytes:
+        """Ids of a run of letters, with or without a space before, or of signs."""
+        found = self.runs.get(run)
+        if found is None:
+            ids = [t.id for t in self.tokenize(run.translate(self.spelling))]
+            found = self.runs[run] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
+_OPEN: dict[str, Words] = {}
+
+
+def words_of(path: str) -> Words:
+    """One cache for each worker process and tokenizer."""
+    if path not in _OPEN:
+        _OPEN[path] = Words(path)
+    return _OPEN[path]
 
 
-def token_ids(pieces: Pieces, texts: list[str]) -> list[np.ndarray]:
+def token_ids(words: Words, texts: list[str]) -> list[np.ndarray]:
     """Ids of the texts, each followed by ``END``."""
-    pieces.forget()
-    cut = [cut_text(t) for t in texts]
-    pieces.learn({p for own in cut for p in own}, decode=False)
+    cut = [words.cut(t) for t in texts]
+    words.learn(set().union(*[own for _, own in cut]))
     end = np.array([END], "<u4").tobytes()
-    known = pieces.ids
-    return [np.frombuffer(b"".join([known[p] for p in own] + [end]), "<u4") for own in cut]
+    known = words.ids
+    return [
+        np.frombuffer(b"".join([words.encode(first) if first else b"", *[known[w] for w in own], end]), "<u4")
+        for first, own in cut
+    ]
 
 
 def write(
@@ -154,7 +249,7 @@ def write(
     )
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, shard, segment = pieces_of(path), TaskContext.get().partitionId(), 0
+        words, shard, segment = words_of(path), TaskContext.get().partitionId(), 0
         doc_ids: list = []
         held: list[np.ndarray] = []
         total = 0
@@ -172,7 +267,7 @@ def write(
             texts = batch["text"].tolist()
             own = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
             for i, j in slices([len(t) for t in texts], SLICE_BYTES):
-                for d, ids in zip(own[i:j], token_ids(pieces, texts[i:j]), strict=True):
+                for d, ids in zip(own[i:j], token_ids(words, texts[i:j]), strict=True):
                     doc_ids.append(d)
                     held.append(ids)
                     total += len(ids)
