@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -265,6 +266,63 @@ def test_context_tree_scores(spark, odd, none):
     assert all(small[r.doc_id, r.n_tokens] == pytest.approx(r.score) for r in got)
 
 
+def plain_tree(train, depth):
+    """Counts of all nodes (context, bits of the byte) and a scorer, by plain recursion."""
+    counts = collections.defaultdict(lambda: [0, 0])
+
+    def walk(text):
+        full = bytes(depth) + text + ctw.END
+        for at in range(depth, len(full)):
+            bits = f"{full[at]:08b}"
+            for k in range(8):
+                yield full[at - depth : at][::-1], bits[:k], int(bits[k])
+
+    for text in train:
+        for context, bits, bit in walk(text):
+            for d in range(depth + 1):
+                counts[context[:d], bits][bit] += 1
+    below = collections.defaultdict(set)
+    for context, bits in list(counts):
+        if context:
+            below[context[:-1], bits].add(context)
+
+    def log_e(node):
+        a, b = counts.get(node, (0, 0))
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    @functools.cache
+    def log_children(context, bits):
+        return sum(log_w(c, bits) for c in sorted(below[context, bits]))
+
+    @functools.cache
+    def log_w(context, bits):
+        if len(context) == depth:
+            return log_e((context, bits))
+        return math.log(0.5) + float(np.logaddexp(log_e((context, bits)), log_children(context, bits)))
+
+    def predicted(context, bits, bit, d):
+        n = counts.get((context[:d], bits), (0, 0))
+        own = (n[bit] + 0.5) / (sum(n) + 1)
+        if d == depth:
+            return own
+        share = 1 / (1 + math.exp(log_children(context[:d], bits) - log_e((context[:d], bits))))
+        return share * own + (1 - share) * predicted(context, bits, bit, d + 1)
+
+    return lambda text: sum(math.log10(predicted(c, b, x, 0)) for c, b, x in walk(text))
+
+
+def test_context_tree_score_is_that_of_a_plain_tree(spark):
+    rng = random.Random(8)
+    words = ["the", "then", "these", "ção", "lore", "lorem", "ab"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(1, 25)))) for i in range(30)] + [(31, None), (None, "The  END")]
+    found = ctw.scored(spark.createDataFrame(rows, "doc_id long, text string"), block_grams=150).collect()
+    score = plain_tree([ctw.canonical(t) for i, t in rows if not ctw.is_held_out(i)], ctw.DEPTH)
+    texts = dict(rows)
+    assert len(found) == len(rows) and len({r.held_out for r in found}) == 2
+    for r in found:
+        assert r.score == pytest.approx(score(ctw.canonical(texts[r.doc_id])), rel=1e-7)
+
+
 def test_context_tree_gives_code_length_per_byte(odd):
     for r in ctw.scored(odd.where("doc_id <> 3 or doc_id is null")).collect():
         size = len(ctw.canonical(next(t for i, t in ODD if i == r.doc_id))) + 1

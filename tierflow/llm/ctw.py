@@ -14,12 +14,14 @@ of all depths are mixed with the weights that follow from those probabilities.
 2. Grams are grouped by a hash of their two newest bytes; a group computes its subtrees.  The
    nodes above (at most 256 x 255 + 255, whatever the corpus) are summed up and broadcast.
 3. A second run over the groups gives log10 P(byte | context) for every gram.
-4. One pass scores the documents: gram values from blocks of bounded size, one pass for each
-   block; the most frequent words from a broadcast of bounded size, all others by a join.
+4. The documents are scored by blocks of bounded size of the gram values: a block is sent out,
+   one pass adds up what it holds and writes it, and the block is released before the next.
+   The most frequent words come from a broadcast of bounded size, all others by a join.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,14 +33,15 @@ from pyspark.sql import functions as F
 from tierflow.llm.kernels import Lookup, slices, word_hashes
 from tierflow.sources.scratch import staged
 
-DEPTH = 4
+DEPTH = 5
 HELD_OUT = (7, 2)
 GROUPS = 256
 #: Entries of one broadcast block of gram values, and of the broadcast of frequent words.
-BLOCK_GRAMS = 6_000_000
+BLOCK_GRAMS = 1_000_000
 HEAD_WORDS = 65_536
-SLICE_BYTES = 1 << 22
-PENDING = 3_000_000
+#: Bytes of text whose grams are held at once, and counts that a task holds back.
+SLICE_BYTES = 1 << 20
+PENDING = 1_000_000
 END = b"\x00"
 
 
@@ -235,13 +238,17 @@ def model(counts: DataFrame) -> DataFrame:
     return staged(values, "grams")
 
 
-_LOADED: dict[int, Lookup] = {}
+#: The tables that a worker holds, by their purpose, and which run and block they are of.
+_LOADED: dict[str, tuple[str, Lookup]] = {}
 
 
-def _lookup(arrays: tuple[np.ndarray, np.ndarray], at: int, name: int) -> Lookup:
-    if _LOADED.get(name, (None, None))[0] != at:
-        _LOADED[name] = (at, Lookup(arrays[0].view(np.uint64), arrays[1], 0.0))
-    return _LOADED[name][1]
+def _lookup(shared, purpose: str) -> Lookup:
+    """The broadcast (name, keys, values) as a table; a worker keeps one of each purpose."""
+    name, keys, values = shared.value
+    if _LOADED.get(purpose, ("", None))[0] != name:
+        _LOADED.pop(purpose, None)  # the old one goes before the new one is made
+        _LOADED[purpose] = (name, Lookup(keys.view(np.uint64), values, 0.0))
+    return _LOADED[purpose][1]
 
 
 def scored(
@@ -277,19 +284,21 @@ def scored(
 
     words = counts.where("kind = 1").select("key", "n")
     head = words.orderBy(F.desc("n"), "key").limit(head_words).toPandas()
-    head_shared = spark.sparkContext.broadcast((head["key"].to_numpy(np.int64), np.log10(head["n"].to_numpy(float) + 1)))
+    run = uuid.uuid4().hex
+    head_shared = spark.sparkContext.broadcast(
+        (run, head["key"].to_numpy(np.int64), np.log10(head["n"].to_numpy(float) + 1))
+    )
     values = model(counts)
     blocks = max(1, -(-n_grams // block_grams))
     end_value = float(np.log10(ends + 1))
     passes = []
     for block in range(blocks):
         part = values.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).toPandas()
-        shared = spark.sparkContext.broadcast((part["key"].to_numpy(np.int64), part["value"].to_numpy(float)))
-        passes.append(_pass(rows, shared, head_shared, block))
-    found = passes[0]
-    if blocks > 1:
-        found = _joined_passes(passes)
-    found = staged(found, "scores")
+        keys, logs = part["key"].to_numpy(np.int64), part["value"].to_numpy(float)
+        shared = spark.sparkContext.broadcast((f"{run}-{block}", keys, logs))
+        passes.append(staged(_pass(rows, shared, head_shared, block), "pass"))
+        shared.unpersist()  # the pass is written
+    found = passes[0] if blocks == 1 else _joined_passes(passes)
 
     tail = found.select("row", F.explode(F.arrays_zip("keys", "times")).alias("w")).select(
         "row", F.col("w.keys").alias("key"), F.col("w.times").alias("times")
@@ -321,8 +330,7 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
     words, summed up if frequent, otherwise listed with their number."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup = _lookup(shared.value, id(shared.value), 0)
-        head = _lookup(head_shared.value, id(head_shared.value), 1)
+        lookup, head = _lookup(shared, "grams"), _lookup(head_shared, "words")
         for batch in batches:
             texts = [canonical(t) for t in batch["text"]]
             for i, j in slices([len(t) for t in texts], SLICE_BYTES):
@@ -360,7 +368,7 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
 
 def _joined_passes(passes: list[DataFrame]) -> DataFrame:
     """Scores of several blocks added up by the row ids that were written with the texts."""
-    first, *others = [staged(p, "pass") for p in passes]
+    first, *others = passes
     more = others[0].select("row", "score")
     for other in others[1:]:
         more = more.unionByName(other.select("row", "score"))
