@@ -102,6 +102,22 @@ def test_rules_on_odd_rows(spark, odd, none):
         assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(w), sum(map(len, w)), len(covered))
 
 
+def test_prose_with_an_unfinished_end_stays(spark):
+    sentence = "The river turns, and the old road follows it down to the harbour. "
+    menu = "Home News Sport Culture Travel Weather Video Archive Contact"
+    rows = [
+        (1, sentence * 8 + "and then at 14 Mill Lane"), (2, (sentence * 3 + "it ends with no mark\n") * 4),
+        (3, (menu + "\n") * 7 + sentence * 2), (4, "\n".join(f"{menu} {i}" for i in range(9))),
+        (5, ("a b c | d e f | g h i | j, k l m | n o p\n") * 6 + "end"),
+    ]
+    got = rules.quality_figures(spark.createDataFrame(rows, "doc_id long, text string"))
+    good = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", rules.loses_little(F.col("text"), rules.word_chars(F.col("text"))).alias("good")
+    )
+    assert {r.doc_id: r.good for r in good.collect()} == {1: True, 2: True, 3: False, 4: False, 5: False}
+    assert got.count() == 5
+
+
 def test_failed_lines_are_removed(spark):
     text = "A fine line of text.\nhome | about | news | more\nEnable JavaScript to go on.\nSTOP!! IT!! NOW!!\nok# $# *# %#.\nEnd."
     df = spark.createDataFrame([(text,)], "t string")

@@ -20,6 +20,8 @@ from tierflow.llm.common import WORD, let, words
 SYMBOLS = "#*$%&|<>"
 TERMINAL = r"[.!?…:;。！？][\"'”’»)\]*]*[\x20\x09-\x0D]*$"
 ENDS = tuple(".!?…:;。！？")
+#: A mark at the end of a word: what prose has inside a line, and lists of entries have not.
+INSIDE = r"[.!?…,;:][\"'”’»)\]]*[\x20\x09-\x0D]"
 MARKS = r"[#*$%&|<>!?»›•·→]"
 SHOUTS = r"!{2,}|\?{2,}"
 SEPARATORS = "|»›•·→"
@@ -42,6 +44,7 @@ class LineRules:
     shouts_per_100_words: int = 30
     separators_per_100_words: int = 25
     least_separators: int = 2
+    running_words: int = 8
     lost_per_100_chars: int = 30
 
 
@@ -58,7 +61,8 @@ def symbols(text: Column) -> Column:
 def is_good_line(line: Column, rules: LineRules = LineRules()) -> Column:
     """Whether a line passes, boilerplate apart; a line without a word passes.
 
-    Punctuation: it ends like a sentence, has few symbols and is not shouted.
+    Punctuation: it ends like a sentence, or runs on with marks inside (prose whose last
+    sentence is unfinished), has few symbols and is not shouted.
     Navigation: it is not a row of entries between separators.
     """
     ends = F.substring(line, -1, 1).isin(*ENDS) | line.rlike(TERMINAL)
@@ -69,7 +73,8 @@ def is_good_line(line: Column, rules: LineRules = LineRules()) -> Column:
     )
     calm = F.regexp_count(line, F.lit(SHOUTS)) * 100 <= n_words * rules.shouts_per_100_words
     plain = symbols(line) * 100 <= word_chars(line) * rules.symbols_per_100_chars
-    return ~line.rlike(WORD) | (ends & (~line.rlike(MARKS) | (plain & calm & ~menu)))
+    prose = ends | ((n_words >= rules.running_words) & line.rlike(INSIDE))
+    return ~line.rlike(WORD) | (prose & (~line.rlike(MARKS) | (plain & calm & ~menu)))
 
 
 def has_furniture(text: Column) -> Column:
@@ -242,7 +247,8 @@ WITH d AS (
   SELECT r,
     count(*) FILTER (chars > 0) - count(DISTINCT line) FILTER (chars > 0) AS dup,
     coalesce(sum(chars) FILTER (chars > 0 AND NOT (
-      regexp_matches(line, '[.!?…:;。！？]["''”’»)\]*]*[\x20\x09-\x0D]*$')
+      (regexp_matches(line, '[.!?…:;。！？]["''”’»)\]*]*[\x20\x09-\x0D]*$')
+        OR (n >= 8 AND regexp_matches(line, '[.!?…,;:]["''”’»)\]]*[\x20\x09-\x0D]')))
       AND shouts * 100 <= n * 30 AND syms * 100 <= chars * 10
       AND NOT (seps >= 2 AND seps * 100 >= n * 25)
       AND NOT regexp_matches(line, '(?i)BOILERPLATE')
