@@ -2,8 +2,8 @@
 
 A page becomes a tree of elements.  Paragraphs pass points for their length and commas to
 their ancestors, halved at each step; a container's points are discounted by the share of
-its text that lies in links.  The best container is kept with those siblings that score
-like it or read like text, or the article element around it as a whole.  Pages are parsed
+its text that lies in links.  The best container is kept with all siblings that are neither
+furniture nor mostly links, or the article element around it as a whole.  Pages are parsed
 where they are scanned, one by one; there is no shuffle.
 """
 
@@ -37,9 +37,11 @@ CLOSES_P = BLOCKS - {"html", "body"}
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "contentinfo complementary consent cookie cookies disqus footer masthead menu modal nav navbar "
-    "navigation newsletter notice notices popup promo related respond search share sharing sidebar "
+    "navigation newsletter notice notices popup promo related respond search sharing sidebar "
     "social sponsor sponsored subscribe toolbar widget".split()
 )
+#: What "share" goes with if it is a tool (and not, say, a price).
+SHARING = frozenset("bar box button buttons icons links tools widget".split())
 ARTICLE = frozenset("article main".split())
 
 
@@ -60,10 +62,14 @@ def _is_furniture(tag: str, attributes: str, parents: list[Node]) -> bool:
         return not any(p.tag in ARTICLE for p in parents)
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
-    words = {
-        w for _, value in _ATTRIBUTE.findall(attributes) for w in re.split(r"[^a-z]+", value.lower())
-    }
-    return not FURNITURE.isdisjoint(words)
+    for _, value in _ATTRIBUTE.findall(attributes):
+        for name in value.lower().strip("\"'").split():
+            words = set(re.split(r"[^a-z]+", name))
+            if not FURNITURE.isdisjoint(words):
+                return True
+            if name == "share" or "share" in words and not SHARING.isdisjoint(words):
+                return True
+    return False
 
 
 def parse(page: str) -> Node:
@@ -108,6 +114,8 @@ def parse(page: str) -> Node:
                     break
         node = Node(tag, open_nodes[-1], _is_furniture(tag, found[3], open_nodes))
         open_nodes[-1].items.append(node)
+        if tag == "svg" and found[3].rstrip().endswith("/"):
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -193,17 +201,23 @@ def main_text(page: str | None) -> str:
         around = around.parent
     if around.tag in ARTICLE:
         best = around
-    kept = [best]
-    if best.parent is not None and best.tag not in ("body", "html"):
-        floor = 0.2 * best.points
-        kept = [
-            n for n in best.parent.items
-            if isinstance(n, Node) and not n.furniture and (
-                n is best or n.chars and n.linked < 0.3 * n.chars
-                and (n.points >= max(floor, 1) or n.tag in ("p", "h1", "h2", "h3", "blockquote", "pre", "ul", "ol"))
-            )
-        ]
-    return " ".join(text for node in kept for _, text, _ in _blocks(node))
+    if best.parent is None or best.tag in ("body", "html"):
+        return " ".join(text for _, text, _ in _blocks(best))
+    around = Node(best.parent.tag, best.parent.parent, False)
+    around.items = _with_siblings(best)
+    return " ".join(text for _, text, _ in _blocks(around))
+
+
+def _with_siblings(best: Node) -> list[Node | str]:
+    """The best container and all that stands beside it, from the first to the last element
+    that reads like text; furniture and what is mostly links stays out."""
+
+    def reads(n: Node | str) -> bool:
+        return isinstance(n, str) or n is best or not n.furniture and 2 * n.linked < max(n.chars, 1)
+
+    beside = best.parent.items
+    told = [i for i, n in enumerate(beside) if reads(n) and not isinstance(n, str) and (n is best or n.chars)]
+    return [n for n in beside[told[0] : told[-1] + 1] if reads(n)]
 
 
 def main_text_column(page: Column) -> Column:
