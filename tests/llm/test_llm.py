@@ -79,6 +79,13 @@ def test_turns_come_back_and_losses_are_counted_once(spark):
         ("<body><div class='side-bar menu'><a href=x>home</a></div><div id=content><p>First, of all, this is a long paragraph.</p>"
          "<p>Short.</p><ul><li>one<li>two</ul></div><div class=comments><p>A reader, who comments at length, is not wanted.</p></div>",
          "First, of all, this is a long paragraph. Short. one two"),
+        ("<body><nav><a href=x>home</a></nav><div><div class=lead>A lead of few words</div>bare text<h4>Part</h4><div><p>"
+         + "The body, which is long, has commas, and more. " * 3 + "</p></div><dl><dt>term<dd>meaning</dl><table><tr><td>1<td>2"
+         "</table><div><a href=1>next story</a> <a href=2>more</a></div><p>The end.</p><div class=newsletter>sign</div></div>",
+         "A lead of few words bare text Part " + "The body, which is long, has commas, and more. " * 3
+         + "term meaning 1 2 The end."),
+        ("<article><p>one <svg/> two</p><p class=share-price>three</p><p class=share-bar>four</p><p class='x share'>five</p></article>",
+         "one two three"),
         ("<header>Site</header><main><header><h1>Title</h1></header><section><p>aa&nbsp;bb\n cc&#33;</p></section><aside>no</aside>"
          "<form><input>no</form><p>x<script>1<2</script>y</main><footer>f</footer>", "Title aa bb cc! xy"),
     ],
@@ -165,6 +172,49 @@ def test_ranking_separates_held_out_rows(spark, odd, none):
     assert {(r.score, r.predicted) for r in alone} == {(0.5, 1)}
 
 
+def plain_features(text):
+    """The nine numbers of a text, character by character."""
+    text = text or ""
+    own = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not own:
+        return [0.0] * 9
+    chars = len(text) - len(re.findall(r"[\x20\x09-\x0D]", text))
+    count = lambda kinds: sum(text.count(c) for c in kinds)
+    capitals = sum("A" <= c <= "Z" or "\xc0" <= c <= "\xde" for c in text)
+    windows = [tuple(own[i : i + 3]) for i in range(max(len(own) - 2, 1))]
+    n = len(own)
+    found = [
+        count("#*$%&<>|") * 5 / chars, count("|") * 5 / n, count("!") * 2 / n, capitals * 3 / chars,
+        sum(c in "0123456789" for c in text) * 2 / chars, count(".,;:?") * 3 / n,
+        (len(windows) - len(set(windows))) * 3 / n, chars / (n * 16), 1.0,
+    ]
+    return [min(x, 1.0) for x in found]
+
+
+def test_features_match_plain_counts():
+    rng = random.Random(2)
+    texts = ["", None, " \n", "A", "Ünï ÄÖ!", "a b c a b c a b c"]
+    texts += ["".join(rng.choices("aB1 .,!|#é\n ", k=rng.randint(1, 200))) for _ in range(200)]
+    assert ranking.features(texts) == pytest.approx(np.array([plain_features(t) for t in texts]))
+
+
+def test_threshold_is_that_of_all_labelled_rows(spark):
+    """The cut does not move with the bound of the sample that the weights come from."""
+    rows = [(i, ("good plain words here. " * 9 if i % 3 else "BAD! | # $ | !! ") * (1 + i % 5)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in rows], "doc_id long, quality int")
+    x = spark.createDataFrame([(i, [float(v) for v in f]) for (i, t), f in zip(rows, ranking.features([t for _, t in rows]), strict=True)], "id long, x array<double>")
+    known = x.join(labels.withColumnsRenamed({"doc_id": "id", "quality": "label"}), "id")
+    for bound in (40, 1000):
+        model = ranking.learn(docs, labels, sample_rows=bound)
+        centre, spread, weights = map(np.array, (model.centre, model.spread, model.weights))
+        own = [(float(((np.array(r["x"]) - centre) / spread) @ weights), r["label"]) for r in known.collect()
+               if zlib.crc32(str(r["id"]).encode()) % 3 != 1]
+        bad = sum(label == 0 for _, label in own)
+        assert model.cut == pytest.approx(sorted(s for s, _ in own)[bad - 1])
+        assert ranking.ranked(docs, labels, sample_rows=bound).where("doc_id % 3 > 0 and predicted = 0").count() == 0
+
+
 def shingled(text):
     w = tuple((text or "").encode().lower().split())
     return w, {w[i : i + 5] for i in range(len(w) - 4)} or ({w} if w else set())

@@ -2,14 +2,14 @@
 
 Features are counts over the bytes and words of the whole text.  The weights are learned on the
 driver from a bounded sample of labelled rows: pairs of a good and a bad document, logistic
-loss on the difference of their features.  The share of bad rows in that sample gives the
-quantile at which the scores are cut.  Documents are scored where they are scanned.
+loss on the difference of their features.  The scores of all labelled rows outside the
+held-out fold are cut at the quantile that is the share of bad rows among them.  Documents are scored where they are scanned.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import residue
 from tierflow.llm.kernels import mix, shingle_hashes, slices, word_hashes
+from tierflow.sources.scratch import staged
 
 #: Most labelled rows that a model is fitted on, those with the smallest hashed ids.
 SAMPLE_ROWS = 20_000
@@ -25,6 +26,8 @@ PAIRS_PER_ROW = 8
 ROUNDS = 400
 RATE = 0.5
 RIDGE = 1e-3
+#: Quantiles are exact to one part in so many rows.
+QUANTILE_ACCURACY = 100_000
 HELD_OUT = (3, 1)
 SLICE_BYTES = 1 << 21
 
@@ -78,6 +81,7 @@ def _features(texts: list[bytes]) -> np.ndarray:
     kind = _KINDS[buf]
     accented = (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[:-1] == 0xC3)
     kind[1:][accented] = CAPITAL
+    kind[:-1][accented] = SPACE  # counted once
 
     def count(what: int) -> np.ndarray:
         return np.add.reduceat((kind == what).astype(np.int64), starts)
@@ -120,7 +124,8 @@ def pairs_of(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, label: np.ndarray) -> Ranking | None:
-    """Learn from feature rows and their 0/1 labels; None without both labels."""
+    """Weights from feature rows and their 0/1 labels; None without both labels.  The cut is
+    still to be set."""
     good, bad = x[label == 1], x[label == 0]
     if not len(good) or not len(bad):
         return None
@@ -131,30 +136,45 @@ def fit(x: np.ndarray, label: np.ndarray) -> Ranking | None:
     for _ in range(ROUNDS):
         wrong = 1 / (1 + np.exp(np.clip(d @ weights, -30, 30)))
         weights += RATE * (d.T @ wrong / len(d) - RIDGE * weights)
-    s = np.sort(z @ weights)
-    at = len(bad)  # the quantile: as many scores lie below the cut as rows are bad
-    cut = (s[at - 1] + s[at]) / 2
-    scale = max(np.median(np.abs(s - cut)) / 3, 1e-6)
-    return Ranking(*(tuple(map(float, v)) for v in (centre, spread, weights)), float(cut), float(scale))
+    return Ranking(*(tuple(map(float, v)) for v in (centre, spread, weights)), 0.0, 1.0)
 
 
 def learn(
     documents: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS,
     doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
 ) -> Ranking | None:
-    """Fit on at most ``sample_rows`` labelled rows outside the held-out fold."""
+    """Weights from at most ``sample_rows`` labelled rows outside the held-out fold; the cut
+    and the scale from the sums of all of those rows."""
     modulus, held = HELD_OUT
     known = labels.select(F.col(doc_id).alias("id"), F.col(quality).alias("label")).where(
         F.col("id").isNotNull() & F.col("label").isin(0, 1)
         & (residue(F.col("id"), modulus) != held)
     )
-    chosen = known.orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows)
-    rows = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), "id"
-    ).select("id", "label", feature_rows(F.col("text")).alias("x")).orderBy("id", "label").collect()
-    if not rows:
+    # One scan of the texts; only numbers are joined and go on from here.
+    learning = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(
+        F.col("id").isNotNull() & (residue(F.col("id"), modulus) != held)
+    )
+    numbers = learning.select("id", feature_rows(F.col("text")).alias("x"))
+    rows = staged(numbers.join(known, "id"), "features")
+    chosen = rows.orderBy(F.xxhash64("id"), "id", "label", F.xxhash64("x")).limit(sample_rows)
+    sample = sorted(chosen.collect(), key=lambda r: (r["id"], r["label"], r["x"]))
+    if not sample:
         return None
-    return fit(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows]))
+    model = fit(np.array([r["x"] for r in sample]), np.array([r["label"] for r in sample]))
+    return model and threshold(model, rows)
+
+
+def threshold(model: Ranking, rows: DataFrame) -> Ranking:
+    """The model with its cut: as large a share of all labelled rows lies below as is bad."""
+    centre, spread, weights = map(np.array, (model.centre, model.spread, model.weights))
+    total = F.lit(float(-(centre / spread) @ weights))
+    for i, w in enumerate(weights / spread):
+        total = total + F.get("x", F.lit(i)) * float(w)
+    sums = rows.select(total.alias("s"), F.col("label").alias("label"))
+    share = sums.agg(F.avg((F.col("label") == 0).cast("double")).alias("bad")).first()["bad"]
+    cut = sums.agg(F.percentile_approx("s", share, QUANTILE_ACCURACY).alias("q")).first()["q"]
+    wide = sums.agg(F.percentile_approx(F.abs(F.col("s") - cut), 0.5, QUANTILE_ACCURACY).alias("q")).first()["q"]
+    return replace(model, cut=float(cut), scale=max(float(wide) / 3, 1e-6))
 
 
 def score(text: Column, model: Ranking | None) -> Column:
