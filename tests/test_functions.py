@@ -111,3 +111,18 @@ def test_nested_to_json_covers_every_nested_column(spark):
 def test_nested_to_json_leaves_flat_tables_alone(spark):
     df = spark.createDataFrame([(1,)], "id int")
     assert nested_to_json(df) is df
+
+
+@pytest.mark.parametrize(
+    ("name", "folded"),
+    [
+        ("Москва", "moskva"), ("ЩЁЛКОВО", "shchelkovo"), ("Нижний Новгород", "nizhnii novgorod"),
+        ("Пльзень", "plzen"), ("Ґданськ", "gdansk"), ("Київ", "kiiv"), ("Ќе Ѓорче", "ke gorche"), ("Љубљана", "ljubljana"),
+        ("Αθήνα", "athina"), ("ΘΕΣΣΑΛΟΝΊΚΗ", "thessaloniki"), ("Ναύπλιο", "nafplio"), ("Εύβοια", "evvoia"),
+        ("Μπάρι", "bari"), ("Λαμπρός", "lampros"), ("Αγγελόκαστρο", "angelokastro"), ("Ούγια", "ougia"),
+        ("Ψαχνά Χίος", "psachna chios"), ("Ὀλυμπία", "olympia"), ("Ηράκλειο São", "irakleio sao"), ("Λευκάδα", "lefkada"),
+        ("東京", "東京"), ("Straße", "strasse"), ("İzmir", "izmir"),
+    ],
+)
+def test_names_in_other_scripts_fold_to_their_romanisation(spark, name, folded):
+    assert spark.createDataFrame([(name,)], "n string").select(fold(F.col("n"))).first()[0] == folded
