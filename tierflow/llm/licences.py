@@ -3,8 +3,7 @@
 Three things are compared with templates by the cosine of sparse TF-IDF vectors: the lines
 that speak of licences, with short notices; and the leading header block and the whole text,
 both with the texts in ``licence_texts``.  A licence file is a document whose whole text is
-like such a text, or one named like a licence file, or one of which at least half of the
-words are such lines.  A document without a licence of its own takes that of the nearest
+like such a text, or one named like a licence file that has a licence.  A document without a licence of its own takes that of the nearest
 directory above it that holds a licence file, by a join of paths.
 
 Built-in expressions only.  The templates are a fixed list and become literals; term
@@ -24,7 +23,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import WORD, let, table
+from tierflow.llm.common import let, table
+from tierflow.operators.sizing import broadcast_within, sized
 from tierflow.sources.scratch import staged
 
 THRESHOLD = 0.45
@@ -191,19 +191,15 @@ def scanned(
     clean = F.regexp_replace(F.coalesce(path, F.lit("")), "^/+|/+$", "")
     rows = documents.select(
         F.col(doc_id).alias("doc_id"), clean.alias("path"), header_lines(whole).alias("headers"),
-        F.when(speaks(whole), F.regexp_count(whole, F.lit(WORD))).alias("n_words"),
         clean.rlike(FILE_NAME).alias("named"), blocks(whole, clean.rlike(FILE_NAME)).alias("blocks"),
     ).withColumn("directory", F.regexp_replace("path", r"/?[^/]*$", ""))
     rows = staged(rows, "headers")  # texts are read once; what follows is small
     headers = rows.where(F.size("headers") > 0).select(F.explode("headers").alias("text"))
     named = header_licences(headers, threshold)
     lines = rows.where(F.size("headers") > 0).select(
-        "doc_id", "path", "directory", "named", "n_words",
-        F.aggregate("headers", F.lit(0), lambda n, h: n + F.regexp_count(h, F.lit(WORD))).alias("said"),
-        F.explode(F.array_distinct("headers")).alias("text"),
+        "doc_id", "path", "directory", "named", F.explode(F.array_distinct("headers")).alias("text"),
     ).join(named, "text").select(
-        "doc_id", "path", "directory", (F.col("named") | (F.col("said") * 2 >= F.col("n_words"))).alias("file"),
-        F.lit(1).alias("rank"), "similarity", "licence",
+        "doc_id", "path", "directory", F.col("named").alias("file"), F.lit(1).alias("rank"), "similarity", "licence",
     )
     parts = rows.where(F.size("blocks") > 0).select("doc_id", "path", "directory", "named", F.explode("blocks").alias("b"))
     distinct = parts.groupBy(F.col("b.key").alias("text")).agg(
@@ -230,6 +226,7 @@ def scanned(
     nearest = above.join(files.withColumnRenamed("directory", "ancestor"), "ancestor").groupBy("directory").agg(
         F.min(F.struct("up", "given")).alias("near")
     ).select("directory", F.col("near.given").alias("given"))
+    nearest = broadcast_within(sized(nearest, "nearest"))  # a directory may hold most documents
 
     quiet = (F.size("headers") == 0) & (F.size("blocks") == 0)
     plain = rows.where(quiet).select(
@@ -264,11 +261,9 @@ WITH d AS (
   SELECT doc_id, concat(coalesce(source, '_'), '/', coalesce(lang, '_')) AS directory,
     coalesce(text, '') AS text FROM documents
 ), l AS (
-  SELECT doc_id, directory, text AS whole, unnest(string_split(text, chr(10))) AS line FROM d
+  SELECT doc_id, directory, unnest(string_split(text, chr(10))) AS line FROM d
 ), h AS (
-  SELECT doc_id, directory, line, len(regexp_extract_all(whole, '[^\x20\x09-\x0D]+')) AS n_words,
-    sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) OVER (PARTITION BY doc_id) AS said
-  FROM l WHERE regexp_matches(line, '{ANCHOR}')
+  SELECT doc_id, directory, line FROM l WHERE regexp_matches(line, '{ANCHOR}')
 ), x AS (
   SELECT line AS k, count(*) AS n, regexp_extract_all(lower(line), '{TERM}') AS terms FROM h GROUP BY line
 ), t AS (
@@ -291,14 +286,10 @@ WITH d AS (
   SELECT line, licence, s FROM c WHERE s >= {THRESHOLD}
   QUALIFY row_number() OVER (PARTITION BY line ORDER BY s DESC, licence) = 1
 ), o AS (
-  SELECT doc_id, directory, said * 2 >= n_words AS file, licence, s FROM h JOIN b USING (line)
+  SELECT doc_id, licence, s FROM h JOIN b USING (line)
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, licence) = 1
-), f AS (
-  SELECT directory, licence, s FROM o WHERE file
-  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY s DESC, licence) = 1
 )
-SELECT d.doc_id, concat(d.directory, '/', d.doc_id) AS path, coalesce(o.licence, f.licence) AS licence,
-  coalesce(o.s, f.s) AS similarity,
-  CASE WHEN o.file THEN 'file' WHEN o.doc_id IS NOT NULL THEN 'header' WHEN f.s IS NOT NULL THEN 'inherited' END AS origin
-FROM d LEFT JOIN o USING (doc_id) LEFT JOIN f ON f.directory = d.directory
+SELECT d.doc_id, concat(d.directory, '/', d.doc_id) AS path, o.licence, o.s AS similarity,
+  CASE WHEN o.doc_id IS NOT NULL THEN 'header' END AS origin
+FROM d LEFT JOIN o USING (doc_id)
 """
