@@ -251,6 +251,22 @@ def _lookup(shared, purpose: str) -> Lookup:
     return _LOADED[purpose][1]
 
 
+def frequent(words: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, at most ``most``: all from some step of the count upwards.
+
+    A global order would bring the first ``most`` rows of every task to the driver.
+    """
+    step = F.floor(F.log2("n") * 8)
+    sizes = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("size")).collect()
+    least, held = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):  # a few hundred steps at most
+        held += row["size"]
+        if held > most:
+            break
+        least = row["step"]
+    return words.limit(0) if least is None else words.where(step >= least)
+
+
 def scored(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     block_grams: int = BLOCK_GRAMS, head_words: int = HEAD_WORDS,
@@ -283,7 +299,7 @@ def scored(
     n_grams = sums[0]["v"] if 0 in sums else 0
 
     words = counts.where("kind = 1").select("key", "n")
-    head = words.orderBy(F.desc("n"), "key").limit(head_words).toPandas()
+    head = frequent(words, head_words).toPandas()
     run = uuid.uuid4().hex
     head_shared = spark.sparkContext.broadcast(
         (run, head["key"].to_numpy(np.int64), np.log10(head["n"].to_numpy(float) + 1))
