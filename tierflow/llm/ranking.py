@@ -156,7 +156,10 @@ def learn(
     )
     numbers = learning.select("id", feature_rows(F.col("text")).alias("x"))
     rows = staged(numbers.join(known, "id"), "features")
-    chosen = rows.orderBy(F.xxhash64("id"), "id", "label", F.xxhash64("x")).limit(sample_rows)
+    # Thinned by a hash before it is ordered, so that no task sends a whole sample of its own.
+    share = int((1 << 30) * min(1.0, sample_rows / max(rows.count(), 1)))
+    thinned = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)
+    chosen = thinned.orderBy(F.xxhash64("id"), "id", "label", F.xxhash64("x")).limit(sample_rows)
     sample = sorted(chosen.collect(), key=lambda r: (r["id"], r["label"], r["x"]))
     if not sample:
         return None
