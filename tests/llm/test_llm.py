@@ -72,6 +72,37 @@ def test_turns_come_back_and_losses_are_counted_once(spark):
     assert chat.windows(turns.limit(0)).count() == 0
 
 
+def turns_of(formatted):
+    return re.findall(r".*?(?:</s>|\[/INST\]|\[/SYS\])", formatted, re.S)
+
+
+def tokens_of(formatted):
+    parts = turns_of(formatted)
+    return sum(len(re.findall(r"[^\x20\x09-\x0D]+", re.sub(r"^\[(INST|SYS)\] | \[/(INST|SYS)\]$|</s>$", "", p))) + chat.TURN_COST for p in parts)
+
+
+@pytest.mark.parametrize("system", [0, 100, 500, 900])
+def test_windows_keep_the_budget_and_the_latest_system_turn(spark, system):
+    rng = random.Random(system)
+    rows = [(1, 0, "system", "s0 " + "w " * system)]
+    for t in range(1, 400):
+        role = "system" if t in (97, 98, 300) else rng.choice(["user", "assistant"])
+        rows.append((1, t, role, f"s{t} " + "w " * min(system // 2, 50) if role == "system" else "x " * rng.randint(0, 60)))
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    found = made.orderBy("window").collect()
+    assert max(tokens_of(r.formatted) for r in found) <= chat.BUDGET
+    latest, turn = None, 0
+    for r in found:
+        own = turns_of(r.formatted)
+        if latest is not None:
+            assert own[0].startswith(f"[SYS] s{latest} "), (own[0][:20], latest)
+        for p in own[r.n_repeated :]:
+            if p.startswith("[SYS] s"):
+                latest = int(re.match(r"\[SYS\] s(\d+)", p)[1])
+            turn += 1
+    assert turn == len(rows)
+
+
 @pytest.mark.parametrize(
     "page, text",
     [

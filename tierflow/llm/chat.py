@@ -3,9 +3,10 @@
 Prefix sums of turn tokens place every turn on the token axis of its conversation.  The
 axis is cut into cells, and a turn belongs to the cell in which it ends; a turn longer than
 a quarter of a window that began in an earlier cell stands alone.  So spans follow from the
-sums alone, turn by turn, and hold at most ``budget`` tokens unless one turn is longer.
-Each window repeats the conversation's system turn and a limited history before its span;
-repeated text is outside the loss mask.
+sums alone, turn by turn.  Each window repeats the latest system turn before its span and a
+limited history; repeated text is outside the loss mask.  A window holds at most ``budget``
+tokens, unless a single turn is longer than what the system turn leaves, or the system turns
+of the conversation take more than 15 of 16 parts of the budget.
 
 Sums are formed by (conversation, chunk of turns) and then over chunks, and all further
 keys are (conversation, cell), so a conversation with most of the rows is spread out.
@@ -23,6 +24,7 @@ from tierflow.llm.common import WORD, table
 BUDGET = 1024
 HISTORY = 192
 CHUNK_TURNS = 256
+BLOCK_CELLS = 64
 TURN_COST = 4
 
 #: The template's control strings after their first character.
@@ -54,7 +56,8 @@ def turn_tail(role: Column) -> Column:
 def placed(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Every turn with its tokens, place and span.
 
-    Columns conv_id, turn, role, text, tokens, start, cell (width ``step``), alone, step.
+    Columns conv_id, turn, role, text, tokens, start, cell (width ``step``), alone, step, and
+    ``reach``, the tokens of history that the longest system turn leaves room for.
     """
     rows = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
@@ -78,11 +81,12 @@ def placed(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> Da
     )
     summed = rows.withColumn("end", F.sum("tokens").over(inside))
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("chunk") == F.col("_chunk"))
-    room = F.greatest(F.lit(budget - history) - F.col("system"), F.lit(budget // 4))
+    reach = F.greatest(F.least(F.lit(history), F.floor((F.lit(budget) - F.col("system")) / 4)), F.lit(0))
+    room = F.greatest(F.lit(budget) - F.col("system") - reach, F.lit(budget // 16))
     return summed.join(offsets, same).select(
         "conv_id", "turn", "role", "text", "tokens",
         (F.col("before") + F.col("end") - F.col("tokens")).alias("start"),
-        (room - F.floor(room / 4)).cast("long").alias("step"),
+        (room - F.floor(room / 4)).cast("long").alias("step"), reach.cast("long").alias("reach"),
     ).withColumn(
         "cell", F.floor((F.col("start") + F.col("tokens") - 1) / F.col("step"))
     ).withColumn(
@@ -103,32 +107,31 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     """
     placed_turns = placed(turns, budget, history)
     number = (F.col("cell") * 2 + (~F.col("alone")).cast("long")).alias("window")
-    own = placed_turns.select("conv_id", number, "start", "role", "text", "step")
+    own = placed_turns.select("conv_id", number, "start", "role", "text", "step", "reach")
     spans = own.groupBy("conv_id", "window").agg(
-        F.min("start").alias("first"), F.max("step").alias("step")
+        F.min("start").alias("first"), F.max("step").alias("step"), F.max("reach").alias("reach")
     )
     # history: turns that end before a span and lie within the allowed tokens before it
     cells = F.explode(
         F.sequence(
-            F.floor(F.greatest(F.col("first") - history, F.lit(0)) / F.col("step")),
+            F.floor(F.greatest(F.col("first") - F.col("reach"), F.lit(0)) / F.col("step")),
             F.floor(F.greatest(F.col("first") - 1, F.lit(0)) / F.col("step")),
         )
     ).alias("_cell")
-    looking = spans.where("first > 0").select(F.col("conv_id").alias("_conv"), "window", "first", cells)
+    looking = spans.where("first > 0").select(F.col("conv_id").alias("_conv"), "window", "first", "reach", cells)
     told = placed_turns.where("role != 'system'").select("conv_id", "cell", "start", "tokens", "role", "text")
     near = told.join(
         looking,
         F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("cell") == F.col("_cell"))
-        & (F.col("start") >= F.col("first") - history) & (F.col("start") + F.col("tokens") <= F.col("first")),
+        & (F.col("start") >= F.col("first") - F.col("reach")) & (F.col("start") + F.col("tokens") <= F.col("first")),
     ).select("conv_id", "window", "start", "role", "text", F.lit(1).alias("kind"))
-    lead = placed_turns.where("role = 'system'").groupBy("conv_id").agg(
-        F.min(F.struct("start", "text")).alias("s")
-    ).select(F.col("conv_id").alias("_conv"), "s")
-    ruled = spans.join(
-        lead, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("s.start") < F.col("first"))
+    systems = placed_turns.where("role = 'system'")
+    ruled = with_latest(spans, systems).join(
+        systems.select(F.col("conv_id").alias("_conv"), "start", "text"),
+        F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("latest") == F.col("start")),
     ).select(
         "conv_id", "window", F.lit(-1).cast("long").alias("start"), F.lit("system").alias("role"),
-        F.col("s.text").alias("text"), F.lit(0).alias("kind"),
+        "text", F.lit(0).alias("kind"),
     )
     parts = own.select("conv_id", "window", "start", "role", "text", F.lit(2).alias("kind"))
     parts = parts.unionByName(near).unionByName(ruled)
@@ -160,6 +163,28 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     )
 
 
+def with_latest(spans: DataFrame, systems: DataFrame) -> DataFrame:
+    """(conv_id, window, latest): the start of the last system turn before each span that has one.
+
+    First within blocks of cells, then over the blocks of a conversation, so that no task
+    orders all spans of a long conversation.
+    """
+    block = F.floor(F.col("at") / (F.col("step") * BLOCK_CELLS)).alias("block")
+    turns = systems.select("conv_id", F.lit(None).cast("long").alias("window"), F.col("start").alias("at"), "step", F.col("start").alias("said"))
+    both = spans.select(
+        "conv_id", "window", F.col("first").alias("at"), "step", F.lit(None).cast("long").alias("said")
+    ).unionByName(turns).select("conv_id", "window", "at", "said", block)
+    inside = Window.partitionBy("conv_id", "block").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = both.groupBy("conv_id", "block").agg(F.max("said").alias("last"))
+    carried = last.select(F.col("conv_id").alias("_conv"), F.col("block").alias("_block"), F.max("last").over(before).alias("carried"))
+    found = both.withColumn("own", F.max("said").over(inside)).where("window is not null")
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block"))
+    return found.join(carried, same).select(
+        "conv_id", "window", F.coalesce("own", "carried").alias("latest")
+    ).where("latest is not null")
+
+
 def read_turns(formatted: Column, n_repeated: Column) -> Column:
     """The turns of a window's own span, read back from its text: (role, text)."""
     marked = F.filter(F.split(formatted, ENDS, -1), lambda t: t != "")
@@ -230,9 +255,11 @@ WITH t AS (
   SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + {TURN_COST} AS n FROM t
 ), b AS (
   SELECT *, row_number() OVER w AS k, sum(n) OVER (w ROWS UNBOUNDED PRECEDING) - n AS s,
-    greatest({BUDGET - HISTORY} - coalesce(max(n) FILTER (role = 'system') OVER (PARTITION BY conv_id), 0), {BUDGET // 4}) AS room
+    coalesce(max(n) FILTER (role = 'system') OVER (PARTITION BY conv_id), 0) AS sys
   FROM a WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
-), c AS (SELECT *, room - room // 4 AS step FROM b
+), r AS (SELECT *, greatest(least({HISTORY}, cast(floor(({BUDGET} - sys) / 4) as bigint)), 0) AS reach FROM b
+), o AS (SELECT *, greatest({BUDGET} - sys - reach, {BUDGET // 16}) AS room FROM r
+), c AS (SELECT *, room - room // 4 AS step FROM o
 ), d AS (SELECT *, (s + n - 1) // step AS cell FROM c
 ), e AS (
   SELECT *, cell * 2 + CASE WHEN s // step < cell AND n > step // 3 THEN 0 ELSE 1 END AS win,
@@ -243,9 +270,11 @@ WITH t AS (
 ), f AS (SELECT conv_id, win, min(s) AS first FROM e GROUP BY ALL
 ), g AS (
   SELECT f.conv_id, sum(e.chars) AS chars FROM f JOIN e ON e.conv_id = f.conv_id AND e.role <> 'system'
-    AND e.s >= f.first - {HISTORY} AND e.s + e.n <= f.first GROUP BY ALL
-), l AS (SELECT conv_id, min(s) AS s, arg_min(chars, s) AS chars FROM e WHERE role = 'system' GROUP BY ALL
-), h AS (SELECT f.conv_id, sum(l.chars) AS chars FROM f JOIN l ON l.conv_id = f.conv_id AND l.s < f.first GROUP BY ALL
+    AND e.s >= f.first - e.reach AND e.s + e.n <= f.first GROUP BY ALL
+), l AS (
+  SELECT f.conv_id, f.win, arg_max(e.chars, e.s) AS chars FROM f
+  JOIN e ON e.conv_id = f.conv_id AND e.role = 'system' AND e.s < f.first GROUP BY ALL
+), h AS (SELECT conv_id, sum(chars) AS chars FROM l GROUP BY ALL
 ), z AS (
   SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY k) AS turns,
     coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars
