@@ -233,7 +233,7 @@ def model(counts: DataFrame) -> DataFrame:
     roots = keyed.groupBy("part").applyInPandas(
         lambda g: _roots(g), "byte bigint, prefix bigint, n0 double, n1 double, log_w double"
     ).groupBy("byte", "prefix").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "log_w")])
-    top = spark.sparkContext.broadcast(top_nodes(roots.toPandas()))  # at most 256 x 255 rows
+    top = spark.sparkContext.broadcast(top_nodes(roots.toArrow().to_pandas()))  # at most 256 x 255 rows
     values = keyed.groupBy("part").applyInPandas(lambda g: _values(g, top.value), "key bigint, value double")
     return staged(values, "grams")
 
@@ -299,18 +299,18 @@ def scored(
     n_grams = sums[0]["v"] if 0 in sums else 0
 
     words = counts.where("kind = 1").select("key", "n")
-    head = frequent(words, head_words).toPandas()
+    head = frequent(words, head_words).toArrow()  # columns, not a Python object for each value
     run = uuid.uuid4().hex
     head_shared = spark.sparkContext.broadcast(
-        (run, head["key"].to_numpy(np.int64), np.log10(head["n"].to_numpy(float) + 1))
+        (run, head["key"].to_numpy(), np.log10(head["n"].to_numpy() + 1.0))
     )
     values = model(counts)
     blocks = max(1, -(-n_grams // block_grams))
     end_value = float(np.log10(ends + 1))
     passes = []
     for block in range(blocks):
-        part = values.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).toPandas()
-        keys, logs = part["key"].to_numpy(np.int64), part["value"].to_numpy(float)
+        part = values.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).toArrow()
+        keys, logs = part["key"].to_numpy(), part["value"].to_numpy()
         shared = spark.sparkContext.broadcast((f"{run}-{block}", keys, logs))
         passes.append(staged(_pass(rows, shared, head_shared, block), "pass"))
         shared.unpersist()  # the pass is written
