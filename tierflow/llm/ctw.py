@@ -37,7 +37,7 @@ DEPTH = 5
 HELD_OUT = (7, 2)
 GROUPS = 256
 #: Entries of one broadcast block of gram values, and of the broadcast of frequent words.
-BLOCK_GRAMS = 1_000_000
+BLOCK_GRAMS = 700_000
 HEAD_WORDS = 65_536
 #: Bytes of text whose grams are held at once, and counts that a task holds back.
 SLICE_BYTES = 1 << 20
