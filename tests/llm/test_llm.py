@@ -465,6 +465,16 @@ def test_licences_are_inherited_from_the_nearest_directory(spark, odd, none):
     assert licences.scanned(none, F.lit("x")).count() == 0
 
 
+def test_a_text_of_mostly_licence_lines_is_a_licence_file(spark):
+    rows = [
+        (1, "a/notice-of-no-such-name", "Released under the MIT License.\nTo all of you."), (2, "a/x/code", "Plain."),
+        (3, "b/code", "Released under the MIT License.\nThen five more words follow, and a sixth."), (4, "b/other", "Plain."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.licence, r.origin) for r in licences.scanned(docs, F.col("path")).collect()}
+    assert got == {1: ("MIT", "file"), 2: ("MIT", "inherited"), 3: ("MIT", "header"), 4: (None, None)}
+
+
 def test_whole_licence_texts_and_header_blocks_are_known(spark):
     text = {n: (Path(licences.__file__).parent / "licence_texts" / f"{n}.txt").read_text() for n in licences.TEXTS}
     grant = "Copyright (c) 2020 Some One\n\n" + text["MIT"].removeprefix("MIT License\n\n")
