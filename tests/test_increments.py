@@ -9,9 +9,10 @@ import uuid
 import pytest
 from conftest import plan_of
 from payloads import DAY, NOON, directions, landed, leg, weather
+from pyspark.sql import functions as F
 
 from tierflow.operators.sizing import sized
-from tierflow.plans import star
+from tierflow.plans import enrichment, promotion, raw_load, star
 from tierflow.plans.enrichment import MissingWeather, describe_routes, routes_to_describe
 from tierflow.plans.promotion import promote_routes, promote_weather, weather_history
 from tierflow.plans.raw_load import (
@@ -24,6 +25,7 @@ from tierflow.sources.scratch import job_scratch, staged
 from tierflow.specs import (
     RAW_TRAFFIC, RAW_WEATHER, ROUTE_DESCRIPTION, ROUTE_REQUEST, TRUSTED_TRAFFIC,
 )
+from tierflow.workload import standins
 
 LOAD_TS = NOON + 50
 
@@ -211,3 +213,30 @@ def test_city_pairs_become_requests(spark, base_dir):
     assert not os.path.exists(f"{ROUTE_REQUEST.quarantine_path(base_dir)}/batch_id=b1")
     assert request_routes(asked.limit(0), base_dir, "b1").statuses == {}
     assert not os.path.exists(f"{ROUTE_REQUEST.path(base_dir)}/batch_id=b1")
+
+
+def test_events_are_dealt_evenly_and_a_first_run_stages_no_keys(spark, base_dir, monkeypatch):
+    rows = [(i, f"2024-01-0{1 + i % 5} 10:00:0{i % 10}", i % 6, "view", float(i), f'{{"k": {i % 7}}}') for i in range(60)]
+    events = spark.createDataFrame(rows, "event_id long, at string, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.to_timestamp_ntz("at")).drop("at").coalesce(1).write.parquet(f"{base_dir}/sf/events.parquet")
+    weather, routes = standins.event_weather(spark, f"{base_dir}/sf"), standins.event_routes(spark, f"{base_dir}/sf")
+    assert weather.rdd.getNumPartitions() == routes.rdd.getNumPartitions() == 4  # one file, one row group
+
+    purposes = []
+    for module in (raw_load, promotion, enrichment):
+        monkeypatch.setattr(module, "sized", lambda df, purpose, **k: purposes.append(purpose) or sized(df, purpose, **k))
+
+    def run(batch: str) -> list:
+        assert load_weather(weather, base_dir, batch).payloads == {"accepted": 60}
+        assert load_routes(routes, base_dir, batch, F.col("epoch")).payloads == {"accepted": 60}
+        promotion.promote_routes(spark, base_dir, batch)
+        done = enrichment.describe_routes(spark, base_dir, batch, 7, on_missing="quarantine")
+        assert done.described == 42
+        path = ROUTE_DESCRIPTION.path(base_dir)
+        return sorted(map(str, read_snapshot(spark, path, ROUTE_DESCRIPTION.schema).collect()))
+
+    first = run("first")
+    assert first and not {"changed-keys", "routes"} & set(purposes)
+    assert run("again") == first and "changed-keys" in purposes
+    empty = load_weather(weather.where("payload is null"), base_dir, "first")
+    assert empty.payloads == {} and empty.accepted == 0
