@@ -303,6 +303,47 @@ def test_words_are_encoded_as_the_library_does():
             assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, tokens.END], text
 
 
+def test_words_that_come_again_are_encoded_once():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words = tokens.Words(path, most=1000)
+    library, given = words.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            given.extend(w for t in texts for w in t.split())
+            return library.encode_batch_fast(texts, **how)
+
+    words.tokenizer = Counted()
+    common, rare = [f"common{i}x" for i in range(100)], [f"rare{i}x" for i in range(6000)]
+    for start in range(0, len(rare), 400):  # rare words alone fill the cache several times
+        text = ". " + " ".join(common + rare[start : start + 400])
+        (ids,) = tokens.token_ids(words, [text])
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, tokens.END]
+        assert len(words.kept) + len(words.once) <= 1000
+    counts = collections.Counter(given)
+    assert {counts[w] for w in common + rare} == {1}
+    words.most = 120  # fewer than come again
+    for part in (common[:60], common[30:90], common[40:], common) * 3:
+        (ids,) = tokens.token_ids(words, [" ".join(part)])
+        assert ids.tolist() == [*library.encode(" ".join(part), add_special_tokens=False).ids, tokens.END]
+
+
+def test_odd_white_space_is_encoded_as_the_library_does():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words, tok = tokens.Words(path), pieces_of(path).tokenizer
+    rng = random.Random(5)
+    parts = [
+        "a", "B", " ", "  ", "\n", "\n\n", " \n", "\n ", "\r\n", "\t", "\0", " \0", "\0s", "\0^", "\x1c", "\x85", "\xa0",
+        "<|endoftext|>", "<|", "é", "日本", "“", "\u0301", "1", "'s", ".", "x" * 120,
+    ]
+    texts = ["a  <|endoftext|>", "a \n<|endoftext|>b", "\n\n<|endoftext|>", "", "\0", " \0", " ", "\n", "\nA", " \nA"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(3000)]
+    for start in range(0, len(texts), 100):
+        part = texts[start : start + 100]
+        for text, ids in zip(part, tokens.token_ids(words, part), strict=True):
+            assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, tokens.END], text
+
+
 def test_written_tokens_come_back(spark, odd, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = odd.select("doc_id", "text").unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id") + 100, "text").toDF("doc_id", "text"))
