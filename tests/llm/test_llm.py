@@ -334,7 +334,7 @@ def test_odd_white_space_is_encoded_as_the_library_does():
     rng = random.Random(5)
     parts = [
         "a", "B", " ", "  ", "\n", "\n\n", " \n", "\n ", "\r\n", "\t", "\0", " \0", "\0s", "\0^", "\x1c", "\x85", "\xa0",
-        "<|endoftext|>", "<|", "é", "日本", "“", "\u0301", "1", "'s", ".", "x" * 120,
+        "<|endoftext|>", "<|", "é", "日本", "“", "\u0301", "1", "'s", ".", ",", ". ", ",\n", "x" * 120,
     ]
     texts = ["a  <|endoftext|>", "a \n<|endoftext|>b", "\n\n<|endoftext|>", "", "\0", " \0", " ", "\n", "\nA", " \nA"]
     texts += ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(3000)]
