@@ -18,20 +18,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.kernels import slices
+from tierflow.llm.kernels import settle, slices
 from tierflow.llm.pieces import Pieces, pieces_of
 
 #: One in so many white spaces, and one in so many other characters, ends a chunk.
 SPACES_PER_CHUNK = 128
 BYTES_PER_CUT = 1 << 16
 WINDOW = 8
-#: Bytes of chunk text that a worker keeps.
-CHUNK_BYTES = 24 << 20
-SLICE_BYTES = 4 << 20
+#: Bytes of chunk text that a worker keeps, and bytes of text that it encodes at once.
+CHUNK_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def cuts(text: bytes) -> list[int]:
@@ -65,7 +66,10 @@ def _words(chunk: bytes) -> list[bytes]:
 
 
 class Chunked:
-    """Encodes texts from chunks."""
+    """Encodes texts from chunks.
+
+    Chunks are kept within a task; ``pieces``, by which they are made, as long as the worker.
+    """
 
     def __init__(self, pieces: Pieces, most: int = CHUNK_BYTES):
         self.pieces = pieces
@@ -79,7 +83,7 @@ class Chunked:
         cut = [chunks(t) for t in texts]
         new = {c for own in cut for c in own if c not in self.known}
         if self.size > self.most:
-            self.known, self.joins, self.size = {}, {}, 0
+            self.clear()
             new = {c for own in cut for c in own}
         self.pieces.forget()
         split = {c: _words(c) for c in new}
@@ -90,6 +94,9 @@ class Chunked:
         self.encoded += len(new)
         return [self._assembled(own) for own in cut]
 
+    def clear(self) -> None:
+        self.known, self.joins, self.size = {}, {}, 0
+
     def _joined(self, words: list[bytes]) -> tuple[bytes, str]:
         ids, texts = self.pieces.ids, self.pieces.texts
         decoded = [texts[w] for w in words]
@@ -160,25 +167,32 @@ def encoded(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     empty result.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _CHUNKED:
             _CHUNKED[path] = Chunked(pieces_of(path))
         encoder = _CHUNKED[path]
         for batch in batches:
-            raw = [(t or "").encode("utf-8", "replace") for t in batch["text"]]
-            for i, j in slices([len(t) for t in raw], SLICE_BYTES):
-                found = encoder.encode(raw[i:j])
-                yield pd.DataFrame(
-                    {
-                        "doc_id": batch["doc_id"].iloc[i:j].array,
-                        "ids": [ids for ids, _ in found],
-                        "decoded": [decoded for _, decoded in found],
-                    }
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for i, j in slices(sizes, SLICE_BYTES):  # texts leave Arrow a slice at a time
+                part = batch.slice(i, j - i)
+                texts = part.column("text").to_pylist()
+                found = encoder.encode([(t or "").encode("utf-8", "replace") for t in texts])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([ids for ids, _ in found], pa.binary()),
+                        pa.array([decoded for _, decoded in found], pa.string()),
+                    ],
+                    ["doc_id", "ids", "decoded"],
                 )
+                del part, texts, found
+                settle()
+        encoder.clear()
+        settle()
 
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInPandas(run, f"doc_id {kind}, ids binary, decoded string")
+    return rows.mapInArrow(run, f"doc_id {kind}, ids binary, decoded string")
 
 
 def digests(encoded_rows: DataFrame) -> DataFrame:

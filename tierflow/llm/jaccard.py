@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.kernels import mix, shingle_hashes, slices, word_hashes
+from tierflow.llm.kernels import mix, settle, shingle_hashes, slices, word_hashes
 from tierflow.sources.scratch import staged
 
 SHINGLE_WORDS = 5
@@ -39,7 +39,7 @@ HASHES = BANDS * ROWS
 STEP = 16
 #: Documents of one bucket that are compared in one task group.
 BLOCK = 1024
-SLICE_BYTES = 1 << 21
+SLICE_CHARS = 1 << 20
 
 _SEEDS = np.random.default_rng(41).integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
 
@@ -67,16 +67,20 @@ def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        raw = [_bytes(t) for t in batch["text"]]
-        digests = [hashlib.blake2b(b" ".join(t.split()), digest_size=16).digest() for t in raw]
+        texts = batch.pop("text").tolist()
+        digests: list[bytes] = []
         found: list[bytes | None] = []
-        for i, j in slices([len(t) for t in raw], SLICE_BYTES):
-            hashes, counts = shingle_hashes(*word_hashes(raw[i:j]), SHINGLE_WORDS)
+        for i, j in slices([len(t or "") for t in texts], SLICE_CHARS):
+            raw = [_bytes(t) for t in texts[i:j]]
+            digests += [hashlib.blake2b(b" ".join(t.split()), digest_size=16).digest() for t in raw]
+            hashes, counts = shingle_hashes(*word_hashes(raw), SHINGLE_WORDS)
             rows = iter(signatures(hashes, counts))
             found += [next(rows).tobytes() if n else None for n in counts]
+        del texts
         yield pd.DataFrame(
             {"doc_id": batch["doc_id"], "text_key": batch["text_key"], "digest": digests, "signature": found}
         )
+        settle()
 
 
 def sign(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,11 +260,13 @@ def _shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         texts = batch["text"].tolist()
         sets: list[bytes] = []
-        for i, j in slices([len(t or "") for t in texts], SLICE_BYTES):
+        for i, j in slices([len(t or "") for t in texts], SLICE_CHARS):
             hashes, counts = shingles(texts[i:j])
             for own in np.split(hashes, np.cumsum(counts)[:-1]):
                 sets.append(np.unique(own).tobytes())
+        del texts
         yield pd.DataFrame({"doc": batch["doc"], "shingles": sets})
+        settle()
 
 
 def linked(documents: DataFrame, signed: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

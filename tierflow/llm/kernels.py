@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -13,6 +15,16 @@ _BASE = 0x9E3779B97F4A7C55
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _POWERS: dict[int, np.ndarray] = {}
+#: glibc keeps freed memory that lies between live objects; other libraries have no such call.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def settle() -> None:
+    """Hand freed memory back to the system: a worker outlives its task and would hold it
+    through later stages, beside their workers and the executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import residue
-from tierflow.llm.kernels import mix, shingle_hashes, slices, word_hashes
+from tierflow.llm.kernels import mix, settle, shingle_hashes, slices, word_hashes
 from tierflow.sources.scratch import staged
 
 #: Most labelled rows that a model is fitted on, those with the smallest hashed ids.
@@ -29,7 +29,7 @@ RIDGE = 1e-3
 #: Quantiles are exact to one part in so many rows.
 QUANTILE_ACCURACY = 100_000
 HELD_OUT = (3, 1)
-SLICE_BYTES = 1 << 21
+SLICE_CHARS = 1 << 20
 
 FEATURES = (
     "symbols", "bars", "bangs", "capitals", "digits", "marks", "repeats", "word_length", "words",
@@ -69,8 +69,11 @@ def features(texts: Sequence[str | None]) -> np.ndarray:
     Shares of symbols, separators, exclamation marks, capitals (ASCII and Latin-1), digits
     and other marks, of words in 3-word windows that occur again, and the word length.
     """
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    found = [_features(raw[i:j]) for i, j in slices([len(t) for t in raw], SLICE_BYTES)]
+    found = [
+        _features([(t or "").encode("utf-8", "surrogatepass") for t in texts[i:j]])
+        for i, j in slices([len(t or "") for t in texts], SLICE_CHARS)
+    ]
+    settle()
     return np.concatenate(found) if found else np.empty((0, len(FEATURES)))
 
 
