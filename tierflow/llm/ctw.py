@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.kernels import Lookup, slices, word_hashes
+from tierflow.llm.kernels import Lookup, settle, slices, word_hashes
 from tierflow.sources.scratch import staged
 
 DEPTH = 5
@@ -39,8 +39,8 @@ GROUPS = 256
 #: Entries of one broadcast block of gram values, and of the broadcast of frequent words.
 BLOCK_GRAMS = 700_000
 HEAD_WORDS = 65_536
-#: Bytes of text whose grams are held at once, and counts that a task holds back.
-SLICE_BYTES = 1 << 20
+#: Characters of text whose grams are counted or looked up at once, and counts that a task holds back.
+COUNT_CHARS, FIND_CHARS = 1 << 20, 1 << 18
 PENDING = 1_000_000
 END = b"\x00"
 
@@ -104,11 +104,11 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     by_kind = _Counts(0), _Counts(1)
     ends = 0
     for batch in batches:
-        texts = [canonical(t) for t in batch["text"]]
+        texts = batch.pop("text").tolist()
         held = np.array([is_held_out(d) for d in batch["doc_id"]], bool)
-        for i, j in slices([len(t) for t in texts], SLICE_BYTES):
+        for i, j in slices([len(t or "") for t in texts], COUNT_CHARS):
             for weight in (0, 1):
-                own = [t for t, h in zip(texts[i:j], held[i:j], strict=True) if h != bool(weight)]
+                own = [canonical(t) for t, h in zip(texts[i:j], held[i:j], strict=True) if h != bool(weight)]
                 if own:
                     by_kind[0].add(grams(own)[0], weight)
                     if weight:
@@ -120,6 +120,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from counts.rows(0)
     if ends:
         yield pd.DataFrame({"kind": [2], "key": [0], "n": [ends]})
+    del by_kind
+    settle()
 
 
 def _kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -348,9 +350,9 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lookup, head = _lookup(shared, "grams"), _lookup(head_shared, "words")
         for batch in batches:
-            texts = [canonical(t) for t in batch["text"]]
-            for i, j in slices([len(t) for t in texts], SLICE_BYTES):
-                own = texts[i:j]
+            texts = batch.pop("text").tolist()
+            for i, j in slices([len(t or "") for t in texts], FIND_CHARS):
+                own = [canonical(t) for t in texts[i:j]]
                 keys, sizes = grams(own)
                 score = np.add.reduceat(lookup.find(keys)[0], np.cumsum(sizes) - sizes)
                 hashes, n = word_hashes(own)
@@ -378,6 +380,7 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
                         "times": np.split(times, cut) if not block else [[]] * len(own),
                     }
                 )
+        settle()
 
     return rows.mapInPandas(run, PASS)
 
