@@ -186,7 +186,7 @@ def encoded(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str =
                     ["doc_id", "ids", "decoded"],
                 )
                 del part, texts, found
-                settle()
+            settle()
         encoder.clear()
         settle()
 
