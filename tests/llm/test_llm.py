@@ -479,6 +479,69 @@ def test_context_tree_scores_do_not_depend_on_how_a_pass_is_split(spark, odd, mo
     assert all(r.score == pytest.approx(whole[r.doc_id]) for r in got)
 
 
+def plain_grams(text):
+    full = bytes(ctw.DEPTH) + text + ctw.END
+    for at in range(ctw.DEPTH, len(full)):
+        yield int.from_bytes(full[at - ctw.DEPTH : at][::-1] + full[at : at + 1], "big")
+
+
+def test_grams_hold_the_context_newest_first_then_the_byte():
+    for texts in ([b""], [b"", b"a", b"", b"abcdefghij", b"\xff\x80\xfe" * 5], [b"abc" * 99, b""]):
+        keys, sizes = ctw.grams(texts)
+        assert keys.dtype == np.uint64 and keys.tolist() == [k for t in texts for k in plain_grams(t)]
+        assert sizes.tolist() == [len(t) + 1 for t in texts]
+
+
+def test_counts_of_several_parts_are_added_up():
+    parts = [([1, 5, 2**63 + 1], [1, 0, 2]), ([5], [7]), ([0, 1], [1, 2**40]), ([2**64 - 1], [3])]
+    keys, n = ctw._merged([(np.array(k, np.uint64), np.array(v, np.int64)) for k, v in parts])
+    assert keys.tolist() == [0, 1, 5, 2**63 + 1, 2**64 - 1] and n.tolist() == [1, 2**40 + 1, 7, 2, 3]
+    assert n.dtype == np.int64
+
+
+def test_each_gram_of_many_texts_is_looked_up_once(monkeypatch):
+    texts = [b"\xff\xfe over and over again", b"", b"over and out", b"\xff\xfe over and over again"] * 50
+    every = sorted({k for t in texts for k in plain_grams(t)})
+    table = np.array(every[::2], np.uint64)
+    values = -np.arange(1.0, len(table) + 1)
+    looked_up, real = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *rest: looked_up.append(len(v)) or real(a, v, *rest))
+    sums, sizes = ctw.gram_sums(texts, table, values)
+    by_key = dict(zip(table.tolist(), values.tolist(), strict=True))
+    assert sums.tolist() == [sum(by_key.get(k, 0) for k in plain_grams(t)) for t in texts]
+    assert looked_up == [len(every)] and sizes.tolist() == [len(t) + 1 for t in texts]
+    assert not ctw.gram_sums(texts, table[:0], values[:0])[0].any()
+
+
+def test_no_more_texts_are_looked_up_at_once_than_a_key_can_number():
+    found = list(ctw._slices([None] * 200_000 + ["x" * 5_000_000, "y"]))
+    assert found[0][0] == 0 and found[-1][1] == 200_002
+    assert all(a[1] == b[0] for a, b in zip(found, found[1:], strict=False))
+    assert max(j - i for i, j in found) <= 1 << ctw.TEXT_BITS and (200_000, 200_001) in found
+
+
+def test_words_are_hashed_in_the_first_pass_only(monkeypatch):
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    class Shared:
+        value = ("some", np.array([1], np.int64), np.array([0.5]))
+
+    import pandas as pd
+
+    hashed, real = [], ctw.word_hashes
+    monkeypatch.setattr(ctw, "word_hashes", lambda own: hashed.append(len(own)) or real(own))
+    batch = pd.DataFrame({"row": range(5), "doc_id": range(5), "text": [None, "", "a b", "a", "c"]})
+    for block, want in ((0, [5]), (1, [5]), (7, [5])):
+        found = pd.concat(ctw._pass(Rows(), Shared, Shared, block)(iter([batch.copy()])))
+        assert found["row"].tolist() == [*range(5)] and hashed == want
+    assert found.columns.tolist() == ["row", "score"]
+
+
 def test_context_tree_probabilities_sum_to_one():
     keys = np.unique(ctw.grams([b"abracadabra", b"abba"])[0])
     context = keys[3] >> np.uint64(8) << np.uint64(8)

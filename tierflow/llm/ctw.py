@@ -16,7 +16,9 @@ of all depths are mixed with the weights that follow from those probabilities.
 3. A second run over the groups gives log10 P(byte | context) for every gram.
 4. The documents are scored by blocks of bounded size of the gram values: a block is sent out,
    one pass adds up what it holds and writes it, and the block is released before the next.
-   The most frequent words come from a broadcast of bounded size, all others by a join.
+   A block is two sorted arrays; a pass sorts the grams of many texts and looks each up once.
+   Only the first pass counts words: the most frequent ones come from a broadcast of bounded
+   size, all others by a join.
 """
 
 from __future__ import annotations
@@ -36,11 +38,13 @@ from tierflow.sources.scratch import staged
 DEPTH = 5
 HELD_OUT = (7, 2)
 GROUPS = 256
-#: Entries of one broadcast block of gram values, and of the broadcast of frequent words.
-BLOCK_GRAMS = 700_000
+#: Entries of one broadcast block of gram values (16 bytes each), and of the broadcast of frequent words.
+BLOCK_GRAMS = 2_000_000
 HEAD_WORDS = 65_536
+#: Bits that a gram's key leaves free, for the number of its text.
+TEXT_BITS = 64 - 8 * (DEPTH + 1)
 #: Characters of text whose grams are counted or looked up at once, and counts that a task holds back.
-COUNT_CHARS, FIND_CHARS = 1 << 20, 1 << 18
+COUNT_CHARS, FIND_CHARS = 1 << 20, 1 << 19
 PENDING = 1_000_000
 END = b"\x00"
 
@@ -61,22 +65,54 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     A key holds the context, newest byte first, then the byte itself.
     """
     pad = bytes(DEPTH)
-    buf = np.frombuffer(b"".join(pad + t + END for t in texts), np.uint8)
+    buf = np.frombuffer(b"".join(x for t in texts for x in (pad, t, END)) + bytes(8), np.uint8)
     sizes = np.array([len(t) + 1 for t in texts])
-    keys = np.zeros(len(buf) - DEPTH, np.uint64)
-    for back in range(1, DEPTH + 1):
-        keys |= buf[DEPTH - back : len(buf) - back].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
-    keys |= buf[DEPTH:].astype(np.uint64)
-    keep = np.ones(len(buf), bool)
-    starts = np.cumsum(sizes + DEPTH) - sizes - DEPTH
-    keep[(starts[:, None] + np.arange(DEPTH)).ravel()] = False
-    return keys[keep[DEPTH:]], sizes
+    n = len(buf) - 8 - DEPTH
+    window = np.ndarray(n, "<u8", buf, strides=(1,))  # eight bytes from every byte, oldest lowest
+    keys = window & np.uint64((1 << 8 * DEPTH) - 1)
+    keys <<= np.uint64(8)
+    keys |= buf[DEPTH : DEPTH + n]
+    keep = np.ones(n, bool)
+    ends = np.cumsum(sizes + DEPTH)[:-1] - DEPTH  # the next bytes to predict are the next text's padding
+    keep[(ends[:, None] + np.arange(DEPTH)).ravel()] = False
+    return keys[keep], sizes
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins; sorted keys."""
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+
+
+def gram_sums(texts: list[bytes], table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the values of each text's grams, and the positions of each text.
+
+    ``table`` has sorted keys; grams that it lacks count 0.  A text's number, of ``TEXT_BITS``
+    at most, goes below its keys, so that one sort in place serves all texts.
+    """
+    own, sizes = grams(texts)
+    if TEXT_BITS:
+        own <<= np.uint64(TEXT_BITS)
+        own |= np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
+    own.sort()
+    whose = (own & np.uint64((1 << TEXT_BITS) - 1)).astype(np.int64)
+    own >>= np.uint64(TEXT_BITS)
+    at = _firsts(own)
+    times = np.diff(np.r_[at, len(own)])
+    own = own[at]
+    slot = np.searchsorted(table, own)
+    hit = slot < len(table)
+    hit[hit] = table[slot[hit]] == own[hit]
+    found = np.zeros(len(own))
+    found[hit] = values[slot[hit]]
+    return np.bincount(whose, np.repeat(found, times), len(texts)), sizes
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate([k for k, _ in parts])
-    unique, inverse = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(inverse, np.concatenate([n for _, n in parts])).astype(np.int64)
+    order = np.argsort(keys, kind="stable")  # merges the parts, which are sorted
+    keys = keys[order]
+    at = _firsts(keys)
+    return keys[at], np.add.reduceat(np.concatenate([n for _, n in parts])[order], at)
 
 
 class _Counts:
@@ -240,7 +276,7 @@ def model(counts: DataFrame) -> DataFrame:
     return staged(values, "grams")
 
 
-#: The tables that a worker holds, by their purpose, and which run and block they are of.
+#: The tables that a worker holds, by their purpose, and which run they are of.
 _LOADED: dict[str, tuple[str, Lookup]] = {}
 
 
@@ -253,6 +289,14 @@ def _lookup(shared, purpose: str) -> Lookup:
     return _LOADED[purpose][1]
 
 
+def _block(values: DataFrame, name: str):
+    """A block of gram values, sent out with its keys sorted."""
+    part = values.toArrow()
+    keys, logs = part["key"].to_numpy().view(np.uint64), part["value"].to_numpy()
+    order = np.argsort(keys)
+    return values.sparkSession.sparkContext.broadcast((name, keys[order], logs[order]))
+
+
 def frequent(words: DataFrame, most: int) -> DataFrame:
     """The most frequent words, at most ``most``: all from some step of the count upwards.
 
@@ -311,9 +355,7 @@ def scored(
     end_value = float(np.log10(ends + 1))
     passes = []
     for block in range(blocks):
-        part = values.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).toArrow()
-        keys, logs = part["key"].to_numpy(), part["value"].to_numpy()
-        shared = spark.sparkContext.broadcast((f"{run}-{block}", keys, logs))
+        shared = _block(values.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block), f"{run}-{block}")
         passes.append(staged(_pass(rows, shared, head_shared, block), "pass"))
         shared.unpersist()  # the pass is written
     found = passes[0] if blocks == 1 else _joined_passes(passes)
@@ -343,18 +385,24 @@ PASS = (
 )
 
 
+def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts whose grams are looked up at once: no more texts than TEXT_BITS can number."""
+    least = max(1, FIND_CHARS >> TEXT_BITS)
+    return slices([max(least, len(t or "")) for t in texts], FIND_CHARS)
+
+
 def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
     """One row per document: its score over the grams of a block, and in the first pass its
     words, summed up if frequent, otherwise listed with their number."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup, head = _lookup(shared, "grams"), _lookup(head_shared, "words")
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _, table, values = shared.value
+        head = _lookup(head_shared, "words")
         for batch in batches:
             texts = batch.pop("text").tolist()
-            for i, j in slices([len(t or "") for t in texts], FIND_CHARS):
+            for i, j in _slices(texts):
                 own = [canonical(t) for t in texts[i:j]]
-                keys, sizes = grams(own)
-                score = np.add.reduceat(lookup.find(keys)[0], np.cumsum(sizes) - sizes)
+                score, sizes = gram_sums(own, table.view(np.uint64), values)
                 hashes, n = word_hashes(own)
                 owner = np.repeat(np.arange(len(own)), n)
                 value, known = head.find(hashes)
@@ -376,13 +424,24 @@ def _pass(rows: DataFrame, shared, head_shared, block: int) -> DataFrame:
                         "n_known": np.bincount(owner, known, len(own)).astype(np.int64),
                         "head_score": np.bincount(owner, value, len(own)),
                         "score": score,
-                        "keys": np.split(rest[at].view(np.int64), cut) if not block else [[]] * len(own),
-                        "times": np.split(times, cut) if not block else [[]] * len(own),
+                        "keys": np.split(rest[at].view(np.int64), cut),
+                        "times": np.split(times, cut),
                     }
                 )
         settle()
 
-    return rows.mapInPandas(run, PASS)
+    def later(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _, table, values = shared.value
+        for batch in batches:
+            texts = batch.pop("text").tolist()
+            for i, j in _slices(texts):
+                score, _ = gram_sums([canonical(t) for t in texts[i:j]], table.view(np.uint64), values)
+                yield pd.DataFrame({"row": batch["row"].iloc[i:j].array, "score": score})
+        settle()
+
+    if block:
+        return rows.select("row", "text").mapInPandas(later, "row bigint, score double")
+    return rows.mapInPandas(first, PASS)
 
 
 def _joined_passes(passes: list[DataFrame]) -> DataFrame:
